@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import language_id
+from lithos.llm import decontaminate, language_id, near_dup, secrets
 from lithos.session import table
 
 
@@ -18,5 +18,57 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op3_language_id": op3_language_id}
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("base"), k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        F.sha2(secrets.named(F.col("base")), 256).alias("base_sha256"),
+        secrets.named(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op5_near_dup": op5_near_dup,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_secrets": op10_secrets,
+}
+
 ORACLE: dict[str, str] = {}
+
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+ORACLE["op9_decontaminate"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT item_id, len, list_slice(w, s, s + len - 1) AS win FROM (
+  SELECT item_id, w, least(len(w), 10) AS len, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS s FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT len FROM bw),
+dw AS (SELECT doc_id, s, len, list_slice(w, s, s + len - 1) AS win FROM (
+  SELECT doc_id, w, len, unnest(generate_series(1, len(w) - len + 1)) AS s FROM d, lens WHERE len(w) >= len)),
+m AS (SELECT doc_id, s, dw.len AS len, item_id FROM dw JOIN (SELECT DISTINCT * FROM bw) q ON dw.len = q.len AND dw.win = q.win),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + len - 1)) AS p FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
