@@ -7,8 +7,9 @@ or more. A document sends a fingerprint once for each run of windows that share
 least once in every ``window - gram + 1`` windows; a hit is then extended to each window
 it stands for, and each is held word by word against the item's windows.
 
-The benchmark side is broadcast only if its rows are counted and few; beyond that the
-join shuffles, and rows carry the few words around a fingerprint instead of the document.
+A document sends only fingerprints whose bit is set in a bitmap of the benchmark's, of fixed
+size, so few rows reach the join; that one shuffles, and each row carries the few words its
+fingerprint stands for.
 
 Defined results: null and empty texts have no words and no hits; an item with fewer words
 than a window is one window, an item without words none. Each row of ``docs`` gives a row,
@@ -30,7 +31,7 @@ from lithos.llm.words import words
 class Params:
     window: int = 10
     gram: int = 5
-    broadcast_rows: int = 100_000
+    bits: int = 17
 
     @property
     def span(self) -> int:
@@ -49,23 +50,35 @@ def _windows_of(items: DataFrame, p: Params, item_col: str, text_col: str) -> Da
     return rows.withColumn("fp", fp).groupBy("fp", "len", "item_id").agg(F.collect_set("win").alias("windows"))
 
 
-def _sent(p: Params, short: list[int]) -> Column:
-    """The fingerprints that a document sends, after a row of its own that holds its word count."""
+def _bitmap(bench: DataFrame, p: Params) -> Column:
+    """Whether a fingerprint may be one of the benchmark's: a bit of ``2 ** p.bits``, whatever the benchmark's size."""
+    bit = F.col("fp").bitwiseAND(F.lit((1 << p.bits) - 1))
+    rows = bench.select(F.shiftright(bit, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(fp & 63L as int))").alias("bit"))
+    longs = [0] * (1 << max(0, p.bits - 6))
+    for r in rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
+        longs[r["at"]] = r["bits"]
+    return F.from_json(F.lit(str(longs)), "array<bigint>")  # a constant of the plan
+
+
+def _sent(p: Params, short: list[int], bitmap: Column) -> Column:
+    """The fingerprints that a document sends, each with the words it stands for, after a row for the document itself."""
     m, n = F.col("least"), F.size("w")
-    steps = F.filter(
-        F.sequence(F.lit(1), F.size(m)),
-        lambda j: (j % p.span == 1) | (F.element_at(m, j) != F.element_at(m, F.greatest(j - 1, F.lit(1)))),
-    )
-    long_ones = F.transform(steps, lambda j: F.struct(F.element_at(m, j).alias("fp"), j.alias("at"), F.lit(p.window).alias("len")))
-    kind = "array<struct<fp:bigint,at:int,len:int>>"
-    parts = [
-        F.array(F.struct(F.col("row").alias("fp"), F.lit(0).alias("at"), F.lit(0).alias("len"))).cast(kind),
-        F.when(F.size(m) > 0, long_ones.cast(kind)).otherwise(F.array().cast(kind)),
-    ]
+    kind = "array<struct<fp:bigint,at:int,len:int,around:array<string>>>"
+
+    def known(h: Column) -> Column:
+        word = F.get(bitmap, F.shiftright(h.bitwiseAND(F.lit((1 << p.bits) - 1)), 6).cast("int"))
+        return F.call_function("getbit", word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    new = lambda j: ((j % p.span == 1) | (F.get(m, j - 1) != F.get(m, j - 2))) & known(F.get(m, j - 1))
+    long_one = lambda j: F.struct(F.get(m, j - 1).alias("fp"), j.alias("at"), F.lit(p.window).alias("len"), F.slice("w", j, p.window + p.span - 1).alias("around"))
+    steps = F.filter(F.sequence(F.lit(1), F.size(m)), new)
+    itself = F.struct(F.col("row").alias("fp"), F.lit(0).alias("at"), F.lit(0).alias("len"), F.lit(None).cast("array<string>").alias("around"))
+    parts = [F.array(itself).cast(kind), F.when(F.size(m) > 0, F.transform(steps, long_one).cast(kind)).otherwise(F.array().cast(kind))]
 
     def every(k: int) -> Column:
-        each = lambda j: F.struct(F.xxhash64(F.slice("w", j, k)).alias("fp"), j.alias("at"), F.lit(k).alias("len"))
-        return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), each).cast(kind)).otherwise(F.array().cast(kind))
+        steps = F.filter(F.sequence(F.lit(1), n - k + 1), lambda j: known(F.xxhash64(F.slice("w", j, k))))
+        each = lambda j: F.struct(F.xxhash64(F.slice("w", j, k)).alias("fp"), j.alias("at"), F.lit(k).alias("len"), F.slice("w", j, k).alias("around"))
+        return F.when(n >= k, F.transform(steps, each).cast(kind)).otherwise(F.array().cast(kind))
 
     return F.concat(*parts, *[every(k) for k in short])
 
@@ -80,7 +93,6 @@ def contamination(docs: DataFrame, items: DataFrame, p: Params = Params(), id_co
     bench = _windows_of(items, p, item_col, item_text_col).cache()
     sizes = {r.len: r.n for r in bench.groupBy("len").agg(F.count("*").alias("n")).collect()}
     short = sorted(k for k in sizes if k < p.window)
-    few = sum(sizes.values()) <= p.broadcast_rows
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("own"), words(F.col(text_col)).alias("w"))
     none = F.array().cast("array<bigint>")
@@ -89,22 +101,16 @@ def contamination(docs: DataFrame, items: DataFrame, p: Params = Params(), id_co
     # Each array is read twice below, which keeps Spark from computing it again inside a lambda.
     least = F.transform(F.sequence(F.lit(1), F.size("grams") - p.span + 1), lambda i: F.array_min(F.slice("grams", i, p.span)))
     rows = rows.withColumn("least", F.when(F.size("grams") > 0, least).otherwise(none))
-    sent = rows.select("row", "own", "w", F.explode(_sent(p, short)).alias("s"))
-    sent = sent.select("row", "own", "w", "s.fp", "s.at", "s.len")
-
-    around = F.slice("w", F.greatest("at", F.lit(1)), p.window + p.span - 1)
-    if not few:
-        sent = sent.withColumn("around", F.when(F.col("at") > 0, around)).withColumn("n_words", F.when(F.col("at") == 0, F.size("w"))).drop("w")
+    sent = rows.select("row", "own", F.size("w").alias("n_words"), F.explode(_sent(p, short, _bitmap(bench, p))).alias("s"))
+    sent = sent.select("row", "own", "n_words", "s.*")
     side = bench.withColumn("found", F.lit(True))
-    met = sent.join(F.broadcast(side) if few else side, ["fp", "len"], "left").where("at = 0 or found")
-    if few:
-        met = met.withColumn("around", F.when(F.col("at") > 0, around)).withColumn("n_words", F.when(F.col("at") == 0, F.size("w")))
+    met = sent.join(side, ["fp", "len"], "left").where("at = 0 or found")
     # A long fingerprint stands for the next span windows, a short one for itself.
     steps = F.sequence(F.lit(1), F.when(F.col("len") == p.window, F.lit(p.span)).otherwise(F.lit(1)))
     true_ones = F.filter(steps, lambda o: F.array_contains(F.col("windows"), F.slice(F.col("around"), o, F.col("len"))))
     starts = F.transform(true_ones, lambda o: F.struct((F.col("at") + o - 2).alias("start"), F.col("len")))
     met = met.select("row", "own", "n_words", F.when(F.col("at") > 0, starts).alias("starts"), "item_id")
-    met = met.where("n_words is not null or size(starts) > 0")
+    met = met.where("starts is null or size(starts) > 0")
     # The partial sums leave a row for each document and task.
     per_doc = met.groupBy("row").agg(
         F.first("own", ignorenulls=True).alias("own"),

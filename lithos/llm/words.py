@@ -22,5 +22,5 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in lower case; null has none."""
-    # Only the first and last parts of a split can be empty.
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP), "")
+    parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP)
+    return F.array_remove(parts, "")

@@ -53,10 +53,10 @@ def test_against_brute_force(spark):
     assert run(spark, docs, items) == brute(docs, items)
 
 
-def test_shuffled_side_gives_the_same(spark):
+def test_full_bitmap_gives_the_same(spark):
     docs, items = case()
     items = [x for x in items if x[0] is not None]
-    assert run(spark, docs[:25], items, broadcast_rows=0) == brute(docs[:25], items)
+    assert run(spark, docs[:25], items, bits=6) == brute(docs[:25], items)
 
 
 def test_empty_tables(spark):
