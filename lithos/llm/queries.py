@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import decontaminate, language_id, near_dup, secrets
-from lithos.session import table
+from lithos.llm import bit_sliced, decontaminate, language_id, licenses, near_dup, packing, secrets, substring_dedup, toxicity, warc
+from lithos.session import staged, table
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share."""
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt where crc32(doc_id) mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lambda c: F.crc32(F.col(c).cast("string")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+    found = toxicity.scored(docs, model)
+    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,11 +33,44 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives."""
+    archives = staged(warc.write_archives(table(spark, sf_dir, "pages")), "archives")
+    found = warc.read_archives(archives, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    return bit_sliced.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and tags of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda x: x["word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,8 +96,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
+    "op4_warc": op4_warc,
     "op5_near_dup": op5_near_dup,
+    "op6_packing": op6_packing,
+    "op7_bit_sliced": op7_bit_sliced,
+    "op8_licenses": op8_licenses,
     "op9_decontaminate": op9_decontaminate,
     "op10_secrets": op10_secrets,
 }
@@ -72,3 +126,36 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+ORACLE["op4_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS target FROM p GROUP BY html),
+h AS (SELECT html, sha1(html) AS hex FROM g),
+b AS (SELECT html, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> s) & 31 AS INTEGER) + 1, 1), '' ORDER BY i, s DESC) AS digest
+  FROM (SELECT html, i, s, CAST('0x' || substr(hex, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT) AS v FROM h, range(0, 8) r(i), (VALUES (15), (10), (5), (0)) q(s)) GROUP BY html)
+SELECT page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = target THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = target THEN NULL ELSE target END AS refers_to
+FROM p JOIN g USING (html) JOIN b USING (html)
+"""
+ORACLE["op7_bit_sliced"] = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0))
+WHERE rank <= 20
+"""
+_SHINGLES = r"""(SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(list_slice(w, i, i + 3), ' '))) END AS s
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents))"""
+ORACLE["op5_near_dup"] = rf"""
+WITH RECURSIVE d AS MATERIALIZED {_SHINGLES},
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM d),
+l AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY u) c ON d.doc_id = c.u
+"""
