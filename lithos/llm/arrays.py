@@ -1,6 +1,6 @@
 """Words, hashes and sets of many texts at once, as numpy arrays over Arrow buffers.
 
-These helpers run inside Spark tasks, on slices of an Arrow batch of about a megabyte,
+These helpers run inside Spark tasks, on slices of an Arrow batch of about a quarter of a megabyte,
 so their memory doesn't depend on the batch; one longer text makes a slice of its own.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
