@@ -1,12 +1,13 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Words are hashed to ``2 ** bits`` buckets, so the model's size is fixed. A bucket's score is
+Words, and their stems of ``stem`` bytes, are hashed to ``2 ** bits`` buckets, so the model's
+size is fixed; a token has the higher of its two scores. A bucket's score is
 the log-odds of its presence in toxic against other labelled documents under a Dirichlet
 prior in proportion to its presence in the whole corpus (Monroe et al., 2008), if the
 z-score says so, less a constant cost a token. A linear scan (Ruzzo and Tompa, 1999) finds
 all maximal segments of a text; each has an E-value K n exp(-lambda S) by Karlin and
-Altschul's extreme-value theory, with lambda from the corpus' token scores and K from the
-unlabelled rate of positive segments. A document's evidence is the sum of -ln E over its
+Altschul's extreme-value theory, with lambda and K from the token scores of
+documents labelled otherwise. A document's evidence is the sum of -ln E over its
 significant segments; a logistic curve over it, fitted on the training labels, is the score.
 
 Labels come from a bounded sample of ``sample`` labelled rows; corpus counts cover every
@@ -32,6 +33,7 @@ from lithos.llm.arrays import ALNUM, text_slices, word_bounds, word_hashes
 @dataclass(frozen=True)
 class Params:
     bits: int = 18
+    stem: int = 4
     sample: int = 20_000
     z: float = 3.0
     cost: float = 0.3
@@ -47,11 +49,14 @@ class Model:
     offset: float = -30.0
 
 
-def _buckets(column: pa.Array, bits: int):
-    """(first row, buckets of all words, word offsets by row) slice by slice."""
+def _buckets(column: pa.Array, p: Params):
+    """(first row, buckets of all words and below them of their stems, word offsets by row) slice by slice."""
     for i, _, data, offsets in text_slices(column):
         starts, ends, first = word_bounds(data, offsets, ALNUM)
-        yield i, (word_hashes(data, starts, ends) >> np.uint64(64 - bits)).astype(np.int64), first
+        both = np.stack([word_hashes(data, starts, ends), word_hashes(data, starts, np.minimum(ends, starts + p.stem))])
+        both = (both >> np.uint64(65 - p.bits)).astype(np.int64)
+        both[1] += 1 << (p.bits - 1)
+        yield i, both, first
 
 
 def _sampled(labels: DataFrame, p: Params, id_col: str, label_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +74,7 @@ def _sampled(labels: DataFrame, p: Params, id_col: str, label_col: str) -> tuple
 
 
 def _counts(docs: DataFrame, ids: np.ndarray, y: np.ndarray, p: Params, id_col: str, text_col: str) -> np.ndarray:
-    """Documents with each bucket: all, sampled toxic, sampled other; the last row has tokens by bucket."""
+    """Documents with each bucket: all, sampled toxic, sampled other; the last row has the tokens of other ones by stem."""
     size = 1 << p.bits
     shared = docs.sparkSession.sparkContext.broadcast((ids, y))
 
@@ -80,9 +85,9 @@ def _counts(docs: DataFrame, ids: np.ndarray, y: np.ndarray, p: Params, id_col:
             doc = batch.column("id").fill_null(-(1 << 62)).to_numpy()
             at = np.minimum(np.searchsorted(ids_, doc), max(0, len(ids_) - 1))
             group = np.where(ids_[at] == doc, 2 - y_[at], 0) if len(ids_) else np.zeros(len(doc), int)
-            for i, words, first in _buckets(batch.column("text"), p.bits):
-                total[3] += np.bincount(words, minlength=size)
+            for i, words, first in _buckets(batch.column("text"), p):
                 owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                total[3] += np.bincount(words[1][group[i + owner] == 2], minlength=size)
                 present = np.unique(owner << p.bits | words)
                 who, what = present >> p.bits, present & (size - 1)
                 total[0] += np.bincount(what, minlength=size)
@@ -148,16 +153,13 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(s), int(e), r - left) for s, e, left, r in out]
 
 
-def _evidence(words: np.ndarray, m: Model, p: Params) -> tuple[float, list[tuple[int, int, float]]]:
-    """-ln E summed over significant segments, and those segments."""
-    if not len(words):
-        return 0.0, []
-    scores = m.scores[words]
+def _evidence(scores: np.ndarray, m: Model, p: Params) -> tuple[float, list[tuple[int, int, float]]]:
+    """-ln E summed over significant segments of a text's token scores, and those segments."""
     if not (scores > 0).any():
         return 0.0, []
     good, total = [], 0.0
     for s, e, x in segments(scores):
-        log_e = math.log(m.k * len(words)) - m.lam * x
+        log_e = math.log(m.k * len(scores)) - m.lam * x
         if log_e < math.log(p.e_value):
             good.append((s, e, x))
             total -= log_e
@@ -186,12 +188,13 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), id_col: str =
     if not counts[1].any() or not counts[2].any():
         return Model(np.zeros(1 << p.bits))
     model = Model(log_odds(*counts[:3], p.z) - p.cost)
-    model.lam = karlin_lambda(model.scores, counts[3])
-    # With few positive tokens a text's best segment is mostly one token: K is their rate, undone for lambda and score.
+    # The null is text labelled other, its tokens scored by their stems; half a token is spread over the positive buckets.
     positive = model.scores > 0
-    rate = counts[3][positive].sum() / max(1, counts[3].sum())
-    typical = (counts[3] * np.exp(np.minimum(700, model.lam * model.scores)))[positive].sum() / max(1, counts[3][positive].sum())
-    model.k = float(min(1.0, max(1e-6, rate * typical * (1 - math.exp(-model.lam * p.cost)))))
+    null = counts[3] + 0.5 * positive / max(1, positive.sum())
+    model.lam = karlin_lambda(model.scores, null)
+    # Positive tokens are rare in it and stand alone, so K is their rate, undone for their score, times the chance to fall back.
+    tilted = (null * np.exp(np.minimum(700, model.lam * model.scores)))[positive].sum() / max(1, null.sum())
+    model.k = float(min(1.0, max(1e-9, tilted * (1 - math.exp(-model.lam * p.cost)))))
     rows = scored(docs, model, p, id_col, text_col, only=ids).toArrow()
     got = dict(zip(rows.column("id").to_pylist(), rows.column("evidence").to_pylist()))
     known = np.array([i in got for i in ids.tolist()])
@@ -215,9 +218,10 @@ def scored(docs: DataFrame, model: Model, p: Params = Params(), id_col: str = "d
                 at = np.minimum(np.searchsorted(some, ids), max(0, len(some) - 1))
                 batch = batch.filter(pa.array(some[at] == ids if len(some) else np.zeros(len(ids), bool)))
             values, places = [], []
-            for _, words, first in _buckets(batch.column("text"), p.bits):
+            for _, words, first in _buckets(batch.column("text"), p):
+                tokens = np.maximum(m.scores[words[0]], m.scores[words[1]])
                 for r in range(len(first) - 1):
-                    value, good = _evidence(words[first[r] : first[r + 1]], m, p)
+                    value, good = _evidence(tokens[first[r] : first[r + 1]], m, p)
                     values.append(value)
                     places.append([{"start": s, "end": e, "score": x} for s, e, x in good])
             evidence = np.array(values, float)
