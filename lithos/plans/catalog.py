@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from lithos.plans import corpus, relational
+
+QUERIES = corpus.QUERIES | relational.QUERIES
+ORACLE = corpus.ORACLE | relational.ORACLE
