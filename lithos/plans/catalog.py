@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lithos.plans import corpus, relational
+from lithos.plans import corpus, models, relational
 
-QUERIES = corpus.QUERIES | relational.QUERIES
-ORACLE = corpus.ORACLE | relational.ORACLE
+QUERIES = corpus.QUERIES | relational.QUERIES | models.QUERIES
+ORACLE = corpus.ORACLE | relational.ORACLE | models.ORACLE

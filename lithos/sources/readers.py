@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOCUMENT = T.StructType.fromDDL(
+DOCUMENT = (
     "ord bigint, pubmed_id string, pmcid string, doi string, cord_uid string, title string, abstract string, authors array<string>, journal string, journaliso string, "
     "publish_year int, publish_month int, publish_day int, medline_pubtype array<string>, reference_count int, url string"
 )
@@ -84,7 +84,7 @@ def pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("publish_month", month).drop("m")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(x: pd.Series) -> pd.Series:
     """HTML entities as characters."""
     return x.map(lambda t: None if t is None else html.unescape(t))
@@ -116,7 +116,7 @@ class _Meta(HTMLParser):
             self.found.setdefault(self.span, set()).add(data.strip())
 
 
-@F.pandas_udf("map<string,array<string>>")
+@F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.StringType())))
 def page_metadata(pages: pd.Series) -> pd.Series:
     """Named metadata of HTML pages: tag to sorted distinct values."""
 
