@@ -237,7 +237,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, p: Params, id_col: str, text_
                     ["id", "size", "shingles"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    # The ids grow with the corpus, so they are never broadcast, even where they happen to be few.
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id", "left_semi")
     return rows.mapInArrow(run, "id long, size long, shingles binary")
 
 
