@@ -22,8 +22,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lithos.session import staged
-
 KINDS = ("assign", "access", "hex", "random")
 #: Fixed patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -168,18 +166,19 @@ def _least_bins(scans: DataFrame, p: Params) -> dict[int, int]:
     return {r.size: r.least for r in good.groupBy("size").agg(F.min("bin").alias("least")).collect()}
 
 
-def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, base, added)``: arrays of (start, kind, end) by start, then kind, an index of KINDS."""
+def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``(doc_id, base, added)``: arrays of (start, kind, end) by start, then kind, an index of KINDS.
+
+    With ``keep``, those columns of ``docs`` and a struct ``found`` of base and added instead.
+    The texts are read twice, first for the histogram; nothing is shuffled but that.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.array_sort(F.concat(_places(text, ASSIGN, 0, p.min_value), _places(text, ACCESS, 1), _places(text, HEX, 2))).alias("base"),
-        _places(text, RUN, 3).alias("runs"),
-    )
+    base = F.array_sort(F.concat(_places(text, ASSIGN, 0, p.min_value), _places(text, ACCESS, 1), _places(text, HEX, 2)))
+    own = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.col(id_col).alias("doc_id"))
+    found = docs.select(own.alias("own"), base.alias("base"), _places(text, RUN, 3).alias("runs"))
     spans = F.transform("base", lambda b: F.struct(b["start"], b["kind"], b["end"]).cast(SPAN))
-    scans = found.select("doc_id", spans.alias("base"), "runs")
-    scans = scans.select("doc_id", "base", candidates(F.col("runs"), F.col("base"), p).alias("candidates"))
-    scans = staged(scans, "scans")
+    scans = found.select("own", spans.alias("base"), "runs")
+    scans = scans.select("own", "base", candidates(F.col("runs"), F.col("base"), p).alias("candidates"))
     least = _least_bins(scans, p)
     table = F.create_map(*[F.lit(x) for pair in least.items() for x in pair]) if least else None
 
@@ -189,7 +188,9 @@ def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col
         return (c["p_random"] >= p.alpha) & (c["bin"] >= F.coalesce(F.try_element_at(table, F.least(c["size"], F.lit(29))), F.lit(p.max_bin + 1)))
 
     added = F.transform(F.filter("candidates", passed), lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")).cast(SPAN))
-    return scans.select("doc_id", "base", added.alias("added"))
+    if keep:
+        return scans.select("own.*", F.struct("base", added.alias("added")).alias("found"))
+    return scans.select("own.doc_id", "base", added.alias("added"))
 
 
 def named(spans: Column) -> Column:

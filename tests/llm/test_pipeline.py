@@ -6,7 +6,6 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lithos.llm import secrets
 from tests.llm import test_decontaminate, test_language_id, test_near_dup, test_secrets
 
 
@@ -59,9 +58,9 @@ def test_stages_keep_the_columns_and_empty_tables(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
 
 
-def test_rows_without_an_id_are_one_document(spark, tmp_path):
-    tables(spark, str(tmp_path))
+def test_rows_without_an_id(spark, tmp_path):
     rows = [(None, "clean text of words", "en"), (None, "token=abcdefgh", "en"), (1, "clean text of other words", "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert [r.doc_id for r in corpus_pipeline.without_secrets(spark, df, str(tmp_path)).collect()] == [1]
-    assert secrets.KINDS[0] == "assign"
+    assert {r.text for r in corpus_pipeline.without_secrets(spark, df, str(tmp_path)).collect()} == {"clean text of words", "clean text of other words"}
+    spark.createDataFrame([(1, "clean text of words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.text for r in corpus_pipeline.uncontaminated(spark, df, str(tmp_path)).collect()} == {"clean text of other words"}
