@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs``
 and keep or drop whole documents; the last returns the packed pieces. Documents are told
-apart by doc_id; rows without one count as a single document where a stage decides on them.
+apart by doc_id; rows without one count as a single document in the stages that group or
+join (near duplicates, decontamination).
 An empty table passes through, and columns beyond those of ``documents`` are kept.
 """
 
@@ -18,7 +19,7 @@ from lithos.session import staged, table
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` but for those whose id is in the first column of ``ids``."""
-    ids = ids.toDF("__gone").distinct()
+    ids = ids.toDF("__gone").distinct().hint("merge")  # they grow with the corpus: never broadcast
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__gone"]), "left_anti")
 
 
@@ -47,8 +48,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a secret span of any kind."""
-    found = secrets.scan(docs)
-    return _without(docs, found.where((F.size("base") > 0) | (F.size("added") > 0)).select("doc_id"))
+    found = secrets.scan(docs, keep=docs.columns)
+    return found.where((F.size("found.base") == 0) & (F.size("found.added") == 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
