@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 #: Fixed pattern of the tokenizer file's pre-tokenizer.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa1-\xff]*")
-#: Most entries that each memo of a worker keeps; beyond it, new ones are encoded each time.
-MEMO = 250_000
+#: Most entries that a worker's memo keeps; beyond it, new ones are encoded each time.
+MEMO = 180_000
 
 
 def _byte_letters() -> list[str]:
@@ -29,35 +29,32 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    """Little-endian uint32 ids of texts, with memos."""
+    """Little-endian uint32 ids of texts, with a memo."""
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.letters = _byte_letters()
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelled = "".join([self.letters[b] for b in piece.encode()])
-            ids = np.array([t.id for t in self.whole.model.tokenize(spelled)], "<u4").tobytes()
-            if len(self.pieces) < MEMO:
-                self.pieces[piece] = ids
-        return ids
+        spelled = "".join([self.letters[b] for b in piece.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.whole.model.tokenize(spelled)])
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks.get(chunk)
-        if ids is None:
-            ids = b"".join([self._piece(p) for p in PIECE.findall(chunk)])
-            if len(self.chunks) < MEMO:
-                self.chunks[chunk] = ids
+        """Ids of what stands between blanks; a chunk and a piece that read alike have the same ids and share an entry."""
+        pieces = PIECE.findall(chunk)
+        ids = self._piece(chunk) if len(pieces) == 1 else b"".join([self.memo.get(p) or self._kept(p, self._piece(p)) for p in pieces])
+        return self._kept(chunk, ids)
+
+    def _kept(self, key: str, ids: bytes) -> bytes:
+        if len(self.memo) < MEMO:
+            self.memo[key] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and "<|" not in text:
-            get, chunk = self.chunks.get, self._chunk
+            get, chunk = self.memo.get, self._chunk
             return b"".join([get(w) or chunk(w) for w in text.lower().split()])
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
