@@ -82,7 +82,7 @@ def postfix(tokens: list[str]) -> list[str]:
 
 
 def choices(tokens: list[str]) -> list[frozenset[str]]:
-    """The sets of licenses any of which satisfies the expression; at most 64 of the smallest are kept."""
+    """All sets of licenses any of which satisfies the expression: their number may grow as the product of its clauses."""
     stack: list[list[frozenset[str]]] = []
     for t in postfix(tokens):
         if t not in RANK:
@@ -95,12 +95,39 @@ def choices(tokens: list[str]) -> list[frozenset[str]]:
             both = a + [x for x in b if x not in a]
         elif t == "and":
             both = [x | y for x in a for y in b]
-        else:  # the exception belongs to the license before it
-            both = [frozenset([f"{'+'.join(sorted(x))} with {'+'.join(sorted(y))}"]) for x in a for y in b]
-        stack.append(sorted(set(both), key=lambda x: (len(x), sorted(x)))[:64])
+        else:  # the exception belongs to each license before it
+            both = [frozenset(f"{i} with {j}" for i in x for j in y) for x in a for y in b]
+        stack.append(sorted(set(both), key=lambda x: (len(x), sorted(x))))
     return stack[0] if stack else []
 
 
+def read(tokens: list[str]) -> tuple[set[str], str]:
+    """(labels, factored form) of an expression, in time linear in its operands: nothing is multiplied out."""
+    stack: list[tuple[set[str], str, list[str]]] = []  # labels, operator, operands
+
+    def shown(op: str, parts: list[str], inside: str) -> str:
+        text = f" {op} ".join(dict.fromkeys(parts))
+        return f"({text})" if op and inside and len(set(parts)) > 1 else text
+
+    for t in postfix(tokens):
+        if t not in RANK:
+            name = SAME.get(t, t)
+            stack.append(({name}, "", [name]))
+            continue
+        if len(stack) < 2:
+            break
+        (right, op_b, b), (left, op_a, a) = stack.pop(), stack.pop()
+        if t == "with":
+            left = {f"{i} with {j}" for i in left for j in right}
+            stack.append((left, "", [f"{shown(op_a, a, t)} with {shown(op_b, b, t)}"]))
+            continue
+        left |= right
+        a = a if op_a == t else [shown(op_a, a, t)]
+        a += b if op_b == t else [shown(op_b, b, t)]
+        stack.append((left, t, a))
+    return (stack[0][0], shown(stack[0][1], stack[0][2], "")) if stack else (set(), "")
+
+
 @lru_cache(maxsize=4)
 def _automaton(phrases: tuple[tuple[str, str, bool], ...]):
     a = ahocorasick.Automaton()
@@ -140,17 +167,17 @@ def scan_text(text: str, p: Params) -> tuple:
     if ":" in low:
         for end, _ in _tags(p.tags).iter(low):
             stop = low.find("\n", end)
-            sets = choices(TOKEN.findall(low[end + 1 : stop if stop >= 0 else len(low)]))
-            if sets:
-                found.append(sets)
+            names, form = read(TOKEN.findall(low[end + 1 : stop if stop >= 0 else len(low)]))
+            if names:
+                found.append((names, form))
     return n_words, places, others, found
 
 
 def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, places, base_labels, labels, expressions, score)`` for each row of ``docs``.
 
-    ``places`` are (word, label) of the base phrases, ``expressions`` the alternatives of each
-    tagged expression, licenses joined by " and ". ``score`` grows with the evidence: a tag
+    ``places`` are (word, label) of the base phrases, ``expressions`` the factored form of
+    each tagged expression, such as "(a or b) and c". ``score`` grows with the evidence: a tag
     that parses counts three notices.
     """
     place = T.StructType([T.StructField("word", T.LongType()), T.StructField("label", T.StringType())])
@@ -158,17 +185,17 @@ def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("places", T.ArrayType(place))]
         + [T.StructField(c, strings) for c in ("base_labels", "labels")]
-        + [T.StructField("expressions", T.ArrayType(strings)), T.StructField("score", T.DoubleType())]
+        + [T.StructField("expressions", strings), T.StructField("score", T.DoubleType())]
     )
-    kinds = [pa.int64(), pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.list_(pa.string())), pa.float64()]
+    kinds = [pa.int64(), pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64()]
 
     def row(text: str) -> tuple:
         n_words, places, others, found = scan_text(text, p)
         base = sorted({label for _, label in places})
-        labels = sorted({*base, *others, *(x for sets in found for s in sets for x in s)})
+        labels = sorted({*base, *others, *(x for names, _ in found for x in names)})
         score = 1 - 0.5 ** (len(places) + len(others) + 3 * len(found))
         spans = [{"word": w, "label": label} for w, label in places]
-        return n_words, spans, base, labels, [[" and ".join(sorted(s)) for s in sets] for sets in found], score
+        return n_words, spans, base, labels, [form for _, form in found], score
 
     def run(batches):
         for batch in batches:

@@ -55,3 +55,22 @@ def test_digest(spark, tmp_path):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_expressions_keep_every_license(spark):
+    clauses = [("BSL-1.0", "0BSD"), *((f"A-{i}", f"Z-{i}") for i in range(9))]
+    products = " AND ".join(f"({a} OR {b})" for a, b in clauses)
+    many = [f"L-{i}" for i in range(100)]
+    rows = [(1, f"License-Expression: {products}"), (2, "SPDX-License-Identifier: " + " OR ".join(many))]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].labels == sorted(x.lower() for c in clauses for x in c)
+    assert got[1].expressions == [products.lower()]
+    assert got[2].labels == sorted(x.lower() for x in many)
+    assert len(licenses.choices(licenses.TOKEN.findall(" or ".join(many).lower()))) == 100
+
+
+def test_labels_are_those_of_all_choices():
+    rnd = random.Random(2)
+    for _ in range(300):
+        tokens = rnd.choices(["(", ")", "and", "or", "with", "a", "b", "c"], k=rnd.randrange(1, 10))
+        assert licenses.read(tokens)[0] == {x for s in licenses.choices(tokens) for x in s}, tokens
