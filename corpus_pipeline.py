@@ -2,8 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs``
 and keep or drop whole documents; the last returns the packed pieces. Documents are told
-apart by doc_id; rows without one count as a single document in the stages that group or
-join (near duplicates, decontamination).
+apart by doc_id in the near-duplicate stage, where rows without one all stay; the other
+stages judge each row by its own text.
 An empty table passes through, and columns beyond those of ``documents`` are kept.
 """
 
@@ -41,9 +41,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    """Drops documents that hold a window of a benchmark item.
+
+    Each row is judged by its own text: rows with one text have one verdict, so the digest of
+    the text is the key, whatever the ids.
+    """
+    key = F.sha2(F.col("text").cast("binary"), 256)
+    found = decontaminate.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = found.where("contaminated").select(F.col("doc_id").alias("__gone")).distinct().hint("merge")
+    return docs.join(gone, key == gone["__gone"], "left_anti")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,3 +64,12 @@ def test_rows_without_an_id(spark, tmp_path):
     assert {r.text for r in corpus_pipeline.without_secrets(spark, df, str(tmp_path)).collect()} == {"clean text of words", "clean text of other words"}
     spark.createDataFrame([(1, "clean text of words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.text for r in corpus_pipeline.uncontaminated(spark, df, str(tmp_path)).collect()} == {"clean text of other words"}
+
+
+def test_a_contaminated_row_takes_no_clean_row_with_it(spark, tmp_path):
+    leak = "one two three four five six seven eight nine ten"
+    rows = [(None, leak), (None, "clean text without an id"), (None, None), (1, leak), (1, "clean text that repeats an id"), (2, f"before {leak} after"), (3, "clean")]
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.uncontaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert {(r.doc_id, r.text) for r in got} == {(None, "clean text without an id"), (None, None), (1, "clean text that repeats an id"), (3, "clean")}
+    assert len(got) == 4
