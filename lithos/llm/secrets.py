@@ -1,15 +1,21 @@
 """Secret scans with DataFrame functions only: patterns, and a battery of randomness tests.
 
 Patterns find assignments to secret names, access keys and long hex runs. Beside them,
-every run of 20 or more key characters that none of those cover is a candidate. Its
-encoding is inferred from its characters (hex, base32, base36 or base64; runs without both
-a letter and a digit, or in no encoding, are ordinary text). Under "uniform over that
-alphabet" three tests give p-values: chi-squared over the alphabet, runs above and below
-the alphabet's middle, and serial correlation at lag 1; Simes' rule combines them, and a
-candidate they reject is not random. What remains is tested against "text": a likelihood
-ratio of uniform symbols to text's mix of character classes, an e-value, so that
-1 / ratio is a p-value. Those go through Benjamini-Hochberg within classes of length, over
-all candidates of all documents, on a histogram of p-values whose size is fixed.
+every run of 20 or more key characters that none of those touch is a candidate if it has a letter, a
+digit and an encoding (hex, base32, base36 or base64, inferred from its characters).
+
+The battery has three tests over the encoding's alphabet: chi-squared for its uniformity, runs, and
+serial correlation at lag 1. Each gives two p-values, and Simes' rule combines the three of a kind:
+
+* under "uniform": symbols are drawn alike and independently. A candidate with a combined value below
+  ``alpha`` is not random;
+* under "text": characters come in stretches of one class (lower case, upper case, digits, signs) that
+  change with probability ``change``, mixed as in TEXT_MIX. Small where the symbols are more even,
+  the classes change more often and neighbours are less alike than in text.
+
+A candidate's p-value is the one under "text", or 1 if it is not random. These go through
+Benjamini-Hochberg within classes of length, with all candidates of all documents counted: of the spans
+reported in a class at most the share ``fdr`` is expected to be text. The counts are kept in bins of p, rounded up, so their number is fixed.
 
 Defined results: null and empty texts have no spans. Spans are code points, end exclusive.
 Each row of ``docs`` gives a row, repeated ids included; other columns are not read.
@@ -46,6 +52,7 @@ class Params:
     min_value: int = 6
     alpha: float = 1e-3
     fdr: float = 0.01
+    change: float = 0.1
     bins_per_decade: int = 4
     max_bin: int = 400
 
@@ -69,10 +76,26 @@ def _places(text: Column, pattern: str, kind: int, min_value: int = 0) -> Column
     return F.when(text.rlike(pattern), every).otherwise(F.array().cast(f"array<{FOUND}>"))
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f reads it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _upper_tail(z: Column) -> Column:
-    """1 - the standard normal distribution, by a logistic approximation (absolute error under 2e-4)."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return 1.0 / (1.0 + F.exp(1.5976 * z + 0.070565776 * z * z * z))
+    """1 - the standard normal distribution, with a relative error under 1e-4 (1e-7 absolute)."""
+
+    def tail(z):
+        x = F.least(F.lit(30.0), F.abs(z))
+        t = 1.0 / (1.0 + 0.2316419 * x)
+        near = F.lit(0.0)
+        for c in (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530):
+            near = (near + c) * t
+        far = x  # a continued fraction
+        for i in range(24, 0, -1):
+            far = x + i / far
+        return F.exp(-x * x / 2) * 0.3989422804014327 * F.when(x < 2, near).otherwise(1.0 / F.greatest(far, F.lit(1.0)))
+
+    return _bound(z, lambda z: F.when(z >= 0, tail(z)).otherwise(1 - tail(z)))
 
 
 def _encoding(s: Column) -> Column:
@@ -86,80 +109,112 @@ def _encoding(s: Column) -> Column:
     )
 
 
-def _p_random(s: Column, alphabet: Column) -> Column:
-    """Simes' combination of the three tests' p-values for a string over its alphabet."""
-    k = F.length(alphabet).cast("double")
-    n = F.length(s).cast("double")
-    squares = F.aggregate(
+def text_moments(alphabet: str, p: Params) -> dict[str, float]:
+    """Under "text": sums of the symbols' squared and cubed shares, and the mean and variance of a lag product.
+
+    Classes are those of the alphabet, in the proportions of TEXT_MIX, symbols alike within a class. A mean of lag
+    products varies more than independent ones would; the variance is that of one, times what neighbours share.
+    """
+    groups = [[i for i, c in enumerate(alphabet) if kind(c)] for kind in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum())]
+    used = [(share, g) for share, g in zip(TEXT_MIX, groups) if g]
+    total = sum(share for share, _ in used)
+    mid, q = (len(alphabet) - 1) / 2, [share / total for share, _ in used]
+    mean = [sum(i - mid for i in g) / len(g) for _, g in used]
+    square = [sum((i - mid) ** 2 for i in g) / len(g) for _, g in used]
+    # The next class is the same with probability 1 - change, else another in its proportion.
+    step = [[1 - p.change if c == d else p.change * q[d] / (1 - q[c]) for d in range(len(q))] if len(q) > 1 else [1.0] for c in range(len(q))]
+    pairs = [(q[c] * step[c][d], c, d) for c in range(len(q)) for d in range(len(q))]
+    lag = sum(w * mean[c] * mean[d] for w, c, d in pairs)
+    spread = sum(w * square[c] * square[d] for w, c, d in pairs) - lag**2
+    return {
+        "s2": sum(x * x / len(g) for x, (_, g) in zip(q, used)),
+        "s3": sum(x**3 / len(g) ** 2 for x, (_, g) in zip(q, used)),
+        "lag": lag,
+        "spread": spread * (2 - p.change) / p.change if len(q) > 1 else spread,
+    }
+
+
+def _simes(*p: Column) -> Column:
+    return _bound(F.array_sort(F.array(*p)), lambda x: F.least(F.lit(1.0), *[F.element_at(x, i + 1) * len(p) / (i + 1) for i in range(len(p))]))
+
+
+def battery(s: Column, code: Column, p: Params) -> Column:
+    """(uniform, text): the tests' combined p-values for a string under either hypothesis."""
+    text = {name: text_moments(alphabet, p) for name, alphabet in ALPHABETS.items()}
+    of = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[code]
+    alphabet = of(ALPHABETS)
+    count = F.aggregate(
         F.split(alphabet, ""),
         F.lit(0.0),
-        lambda acc, c: acc + F.when(c == "", 0.0).otherwise(F.pow(n - F.length(F.replace(s, c, F.lit(""))), F.lit(2.0))),
+        lambda acc, c: acc + F.when(c == "", 0.0).otherwise(F.pow(F.length(s) - F.length(F.replace(s, c, F.lit(""))), F.lit(2.0))),
     )
-    chi, df = squares * k / n - n, k - 1
-    z_chi = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    codes = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c).cast("double") - 1)
-    zero = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("runs"), F.lit(0.0).alias("high"), F.lit(0.0).alias("lag"))
-    kept = "struct<last:double,runs:double,high:double,lag:double>"
-    mid = (k - 1) / 2
+    kind = lambda c: F.when(c.between("0", "9"), 0).when(c.between("a", "z"), 1).when(c.between("A", "Z"), 2).otherwise(3)
+    codes = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.struct((F.instr(alphabet, c).cast("double") - 1).alias("at"), kind(c).alias("kind")))
+    kept = "struct<last:double,kind:int,turns:double,changes:double,lag:double>"
+    zero = F.struct(F.lit(-1.0).alias("last"), F.lit(-1).alias("kind"), *[F.lit(0.0).alias(c) for c in ("turns", "changes", "lag")]).cast(kept)
+    mid = (F.length(alphabet) - 1) / 2
 
     def step(acc, x):
-        first = acc["last"] < 0
-        turned = first | ((acc["last"] > mid) != (x > mid))
+        later = acc["last"] >= 0
         return F.struct(
-            x.alias("last"),
-            (acc["runs"] + F.when(turned, 1.0).otherwise(0.0)).alias("runs"),
-            (acc["high"] + F.when(x > mid, 1.0).otherwise(0.0)).alias("high"),
-            (acc["lag"] + F.when(first, 0.0).otherwise((acc["last"] - mid) * (x - mid))).alias("lag"),
+            x["at"].alias("last"),
+            x["kind"].alias("kind"),
+            (acc["turns"] + F.when(later & ((acc["last"] > mid) != (x["at"] > mid)), 1.0).otherwise(0.0)).alias("turns"),
+            (acc["changes"] + F.when(later & (acc["kind"] != x["kind"]), 1.0).otherwise(0.0)).alias("changes"),
+            (acc["lag"] + F.when(later, (acc["last"] - mid) * (x["at"] - mid)).otherwise(0.0)).alias("lag"),
         ).cast(kept)
 
-    def tests(acc):
-        mean = 2 * acc["high"] * (n - acc["high"]) / n + 1
-        spread = F.sqrt(F.greatest(F.lit(1e-9), (mean - 1) * (mean - 2) / (n - 1)))
-        p_runs = 2 * _upper_tail(F.abs((acc["runs"] - mean) / spread))
-        p_lag = 2 * _upper_tail(F.abs(acc["lag"] / ((k * k - 1) / 12) / F.sqrt(n - 1)))
-        p = F.array_sort(F.array(_upper_tail(z_chi), p_runs, p_lag))
-        return F.least(F.lit(1.0), F.element_at(p, 1) * 3, F.element_at(p, 2) * 1.5, F.element_at(p, 3))
-
-    return F.aggregate(codes, zero.cast(kept), step, tests)
-
-
-def _log_ratio(s: Column, alphabet: Column) -> Column:
-    """Log likelihood ratio of uniform symbols to text's mix of character classes."""
-    total = F.lit(0.0)
-    for share, chars, size in zip(TEXT_MIX, ("a-z", "A-Z", "0-9", "+/"), (26, 26, 10, 2)):
-        n = F.length(F.regexp_replace(s, f"[^{chars}]", "")).cast("double")
-        total = total + n * F.log(F.lit(size / share) / F.length(alphabet))
-    return total
+    def tests(v):
+        k, n, squares, acc = v["k"], v["n"], v["squares"], v["seen"]
+        # Chi-squared has mean k - 1 and variance 2 (k - 1) (1 - 1 / n): a gamma variable with those.
+        chi, df = squares * k / n - n, (k - 1) / (1 - 1 / n)
+        z_chi = (F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        # Runs about the alphabet's middle: each step turns with probability one half.
+        turns = F.greatest(F.lit(0.0), F.abs(acc["turns"] - (n - 1) / 2) - 0.5) / F.sqrt((n - 1) / 4)
+        lag = acc["lag"] / ((k * k - 1) / 12) / F.sqrt(n - 1)
+        uniform = _simes(_upper_tail(z_chi), F.least(F.lit(1.0), 2 * _upper_tail(turns)), 2 * _upper_tail(F.abs(lag)))
+        # Chi-squared grows with the pairs of equal symbols, whose moments are known for any shares of the symbols.
+        pairs, mean = (squares - n) / 2, n * (n - 1) / 2 * v["s2"]
+        deviation = F.sqrt(n * (n - 1) / 2 * (v["s2"] - v["s2"] * v["s2"]) + n * (n - 1) * (n - 2) * (v["s3"] - v["s2"] * v["s2"]))
+        # Runs of a class: Chernoff's bound of a binomial tail. The others: few equal pairs, a small lag product.
+        share = F.least(F.lit(1 - 1e-12), acc["changes"] / (n - 1))
+        bound = F.exp(-(n - 1) * (share * F.log(share / p.change) + (1 - share) * F.log((1 - share) / (1 - p.change))))
+        runs = F.when(share <= p.change, 1.0).otherwise(bound)
+        even = _upper_tail((mean - pairs - 0.5) / deviation)
+        near = _upper_tail((v["mean"] - acc["lag"] / (n - 1)) / F.sqrt(v["spread"] / (n - 1)))
+        return F.struct(uniform.alias("uniform"), _simes(even, runs, near).alias("text"))
+
+    moments = [of({k: v[c] for k, v in text.items()}).alias(a) for c, a in (("s2", "s2"), ("s3", "s3"), ("lag", "mean"), ("spread", "spread"))]
+    sizes = [F.length(alphabet).cast("double").alias("k"), F.length(s).cast("double").alias("n")]
+    return _bound(F.struct(*sizes, count.alias("squares"), F.aggregate(codes, zero, step).alias("seen"), *moments), tests)
 
 
 def candidates(found: Column, base: Column, p: Params) -> Column:
-    """(start, end, p_random, bin, length class) of the runs that no base span touches and that have an encoding."""
+    """(start, end, bin of p, length class) of the runs that no base span touches and that have an encoding."""
     free = F.filter(found, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     named = F.transform(free, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["text"].alias("s"), _encoding(r["text"]).alias("code")))
     named = F.filter(named, lambda r: r["code"].isNotNull())
-    table = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
 
     def plain(r):
         s = F.translate(r["s"], "-_", "+/")
         return F.when((r["code"] == "hex"), F.lower(s)).otherwise(s)
 
-    named = F.transform(named, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), plain(r).alias("s"), table[r["code"]].alias("alphabet")))
+    named = F.transform(named, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), plain(r).alias("s"), r["code"].alias("code")))
+    named = F.transform(named, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.length(r["s"]).alias("n"), battery(r["s"], r["code"], p).alias("p")))
+
+    def bin_of(r):
+        decades = F.when(r["p"]["uniform"] >= p.alpha, -F.log10(F.greatest(r["p"]["text"], F.lit(1e-300)))).otherwise(0.0)
+        return F.least(F.lit(p.max_bin), F.floor(decades * p.bins_per_decade)).cast("int")
+
     return F.transform(
-        named,
-        lambda r: F.struct(
-            r["start"].alias("start"),
-            r["end"].alias("end"),
-            _p_random(r["s"], r["alphabet"]).alias("p_random"),
-            F.least(F.lit(p.max_bin), F.floor(F.greatest(F.lit(0.0), _log_ratio(r["s"], r["alphabet"])) / 2.302585 * p.bins_per_decade)).cast("int").alias("bin"),
-            F.floor(F.log2(F.length(r["s"]))).cast("int").alias("size"),
-        ),
+        named, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), bin_of(r).alias("bin"), F.least(F.lit(29), F.floor(F.log2(r["n"]))).cast("int").alias("size"))
     )
 
 
 def _least_bins(scans: DataFrame, p: Params) -> dict[int, int]:
     """By class of length, the least bin that Benjamini-Hochberg rejects; at most 30 classes of max_bin bins."""
-    each = scans.select(F.explode("candidates").alias("c")).where(F.col("c.p_random") >= p.alpha)
-    counts = each.groupBy(F.least(F.col("c.size"), F.lit(29)).alias("size"), F.col("c.bin").alias("bin")).agg(F.count("*").alias("n"))
+    each = scans.select(F.explode("candidates").alias("c"))
+    counts = each.groupBy("c.size", "c.bin").agg(F.count("*").alias("n"))
     whole, above = Window.partitionBy("size"), Window.partitionBy("size").orderBy(F.desc("bin"))
     ranked = counts.withColumn("m", F.sum("n").over(whole)).withColumn("rank", F.sum("n").over(above))
     good = ranked.where(F.col("m") * F.pow(F.lit(10.0), -F.col("bin") / p.bins_per_decade) / F.col("rank") <= p.fdr)
@@ -185,7 +240,7 @@ def scan(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col
     def passed(c):
         if table is None:
             return F.lit(False)
-        return (c["p_random"] >= p.alpha) & (c["bin"] >= F.coalesce(F.try_element_at(table, F.least(c["size"], F.lit(29))), F.lit(p.max_bin + 1)))
+        return (c["bin"] > 0) & (c["bin"] >= F.coalesce(F.try_element_at(table, c["size"]), F.lit(p.max_bin + 1)))
 
     added = F.transform(F.filter("candidates", passed), lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")).cast(SPAN))
     if keep:
