@@ -63,7 +63,7 @@ def test_rows_without_an_id(spark, tmp_path):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r.text for r in corpus_pipeline.without_secrets(spark, df, str(tmp_path)).collect()} == {"clean text of words", "clean text of other words"}
     spark.createDataFrame([(1, "clean text of words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert {r.text for r in corpus_pipeline.uncontaminated(spark, df, str(tmp_path)).collect()} == {"clean text of other words"}
+    assert {r.text for r in corpus_pipeline.uncontaminated(spark, df, str(tmp_path)).collect()} == {"token=abcdefgh", "clean text of other words"}
 
 
 def test_a_contaminated_row_takes_no_clean_row_with_it(spark, tmp_path):
@@ -73,3 +73,11 @@ def test_a_contaminated_row_takes_no_clean_row_with_it(spark, tmp_path):
     got = corpus_pipeline.uncontaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
     assert {(r.doc_id, r.text) for r in got} == {(None, "clean text without an id"), (None, None), (1, "clean text that repeats an id"), (3, "clean")}
     assert len(got) == 4
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, base, "a"), (None, base, "b"), (None, base + " x", "c"), (2, "other words of a text", "d"), (2, base + " y", "e"), (1, None, "f"), (1, None, "f"), (None, "alone here", "g"), (3, "three times", "h"), (3, "three times", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.one_of_each_group(spark, df, str(tmp_path)).collect()
+    assert sorted((r.source for r in got)) == ["d", "e", "f", "f", "g", "h"]
