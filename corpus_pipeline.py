@@ -1,9 +1,8 @@
 """A training corpus from ``documents``: the stages in order, each on all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs``
-and keep or drop whole documents; the last returns the packed pieces. Documents are told
-apart by doc_id in the near-duplicate stage, where rows without one all stay; the other
-stages judge each row by its own text.
+and keep or drop whole documents; the last returns the packed pieces. Every stage judges a row by its
+own text, whatever its id: rows that share an id, or have none, neither drop nor save each other.
 An empty table passes through, and columns beyond those of ``documents`` are kept.
 """
 
@@ -17,12 +16,6 @@ from lithos.llm import decontaminate, language_id, near_dup, packing, secrets
 from lithos.session import staged, table
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for those whose id is in the first column of ``ids``."""
-    ids = ids.toDF("__gone").distinct().hint("merge")  # they grow with the corpus: never broadcast
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__gone"]), "left_anti")
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: without text or without a letter."""
     model = language_id.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
@@ -31,13 +24,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each near-duplicate group, and one row of it."""
-    found = staged(near_dup.near_duplicates(docs), "groups")
-    kept = _without(docs, found.where("not kept and doc_id is not null").select("doc_id"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    """Keeps one text of each near-duplicate group, that with the least id (rows without one come last), and one row of it."""
+    found = staged(near_dup.near_duplicates(docs, by_text=True), "groups")
+    own = F.xxhash64("text")
+
+    def those(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).hint("merge")  # they grow with the corpus: never broadcast
+        return docs.join(keys, docs["doc_id"].eqNullSafe(keys["__id"]) & (own == keys["__hash"]), how)
+
+    gone = found.where("not kept").select("doc_id", "hash").distinct()
+    repeated = found.where("kept and n_shingles > 0").groupBy("doc_id", "hash").count().where("count > 1").select("doc_id", "hash")
     if repeated.isEmpty():
-        return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+        return those(gone, "left_anti")
+    return those(gone.unionByName(repeated), "left_anti").unionByName(those(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
