@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lithos.operators.ranks import in_ranges, sums_before
+
 
 def mode_per_group(rows: DataFrame, group: str, value: str, order: str) -> DataFrame:
     """The most frequent value of each group; among equals the one seen first by ``order``."""
@@ -45,13 +47,17 @@ def rare_fold(rows: DataFrame, value: str, least: int, other: str = "Other") ->
 def average_percentile(rows: DataFrame, value: str, out: str = "pct") -> DataFrame:
     """The percentile rank in (0, 1] with ties sharing their average rank.
 
-    Ranks come from counts by value: only the distinct values are put in one order.
+    Counts by value are dealt out by ranges of values and summed inside each; what comes before a
+    range is a sum over as many numbers as there are ranges. Rows without a value go.
     """
-    counts = rows.groupBy(value).agg(F.count("*").alias("__n"))
-    before = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    total = rows.agg(F.count(value).alias("__t"))
-    ranked = ranked.crossJoin(F.broadcast(total)).select(F.col(value).alias("__v"), ((F.col("__b") + (F.col("__n") + 1) / 2) / F.col("__t")).alias(out))
+    counts = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    counts = in_ranges(counts, ["__v"])
+    start, total = sums_before(counts, F.col("__n"))
+    if start is None:
+        return rows.where(F.lit(False)).withColumn(out, F.lit(None).cast("double"))
+    inside = Window.partitionBy("__p").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    before = start + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    ranked = counts.select("__v", ((before + (F.col("__n") + 1) / 2) / F.lit(total)).alias(out))
     return rows.join(ranked, F.col(value) == F.col("__v")).drop("__v")
 
 

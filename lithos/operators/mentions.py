@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lithos.session import staged
 
 
 def term_lookup(terms: DataFrame, removed_ids: DataFrame | None = None, removed_aliases: DataFrame | None = None, stop: list[str] | None = None) -> DataFrame:
@@ -18,6 +22,57 @@ def term_lookup(terms: DataFrame, removed_ids: DataFrame | None = None, removed_
     return bare.where(~F.col("alias").isin(*(stop or [""]))).select("alias", "type", "id").distinct()
 
 
+#: Most aliases that are sent to the tasks; a larger dictionary is joined.
+MOST_ALIASES = 500_000
+
+
+def mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", most_aliases: int = MOST_ALIASES, only_longest: bool = False) -> DataFrame:
+    """``(doc_id, pos, n, alias, ...)``: every run of tokens that is an alias, of any length; pos from 0. Aliases are joined by blanks.
+
+    ``only_longest`` leaves out hits that a longer one of the same document covers. A dictionary of at most
+    ``most_aliases`` goes to every task as a tree of tokens, and each document is read once; a larger one is joined.
+    """
+    aliases = [r.alias for r in lookup.select("alias").distinct().limit(most_aliases + 1).collect()]
+    if len(aliases) > most_aliases:
+        longest_one = lookup.agg(F.max(F.size(F.split("alias", " ")))).first()[0]
+        hits = ngram_mentions(docs, tokens, lookup, id_col, longest_one)
+        return longest(staged(hits, "hits"), id_col) if only_longest else hits
+    shared = docs.sparkSession.sparkContext.broadcast(aliases)
+    kind = next(f for f in docs.schema if f.name == id_col).dataType
+
+    def run(batches):
+        tree: dict = {}
+        for alias in shared.value:
+            at = tree
+            for word in alias.split(" "):
+                at = at.setdefault(word, {})
+            at[None] = alias
+        for batch in batches:
+            owner, found = [], []
+            for r, words in enumerate(batch.column("tokens").to_pylist()):
+                covered = 0  # the furthest end of the hits so far
+                for start, word in enumerate(words or []):
+                    at, end, here = tree.get(word), start + 1, []
+                    while at is not None:
+                        if None in at:
+                            here.append((start, end - start, at[None]))
+                        if end == len(words):
+                            break
+                        at, end = at.get(words[end]), end + 1
+                    if only_longest:
+                        here = [h for h in here[-1:] if start + h[1] > covered]
+                    for h in here:
+                        covered = max(covered, start + h[1])
+                        owner.append(r)
+                        found.append(h)
+            columns = list(zip(*found)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.string())))], ["id", "pos", "n", "alias"])
+
+    schema = T.StructType([T.StructField("id", kind), T.StructField("pos", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("alias", T.StringType())])
+    hits = docs.select(F.col(id_col).alias("id"), F.col(tokens).alias("tokens")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return hits.join(lookup, "alias") if len(lookup.columns) > 1 else hits
+
+
 def ngram_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", most: int = 3) -> DataFrame:
     """``(doc_id, pos, n, alias, ...)``: runs of 1 to ``most`` tokens that are an alias; pos from 0. Aliases are joined by blanks."""
     grams = F.flatten(

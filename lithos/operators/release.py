@@ -10,7 +10,6 @@ RELEASE = (
     "cord_uid", "pubmed_id", "doi", "pmcid", "url", "journal", "publish_year", "publish_month", "publish_day",
     "title", "abstract", "is_preprint", "topics", "articletypes", "entities",
 )
-PREPRINT_SERVERS = ("arXiv", "bioRxiv", "medRxiv", "ChemRxiv")
 REQUIRED = ("title", "abstract", "journal", "publish_year")
 #: A virus cannot be meant before its year of discovery; the newest is the only one where it is present.
 FIRST_YEAR = {"SARS-CoV": 2002, "MERS-CoV": 2012, "SARS-CoV-2": 2019}

@@ -49,10 +49,12 @@ def language_flags(text: Column, least: int = 5) -> Column:
     """Languages of which ``least`` distinct stopwords stand between blanks, comma-joined; else english."""
     # The first and the last word have no blank on one side.
     inner = F.regexp_replace(F.regexp_replace(F.lower(text), r"^\S+", ""), r"\S+$", "")
-    words = F.array_distinct(F.split(inner, r"\s+"))
-    hits = [F.when(F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in ws]))) >= least, F.lit(name)) for name, ws in STOPWORDS.items()]
-    found = F.array_compact(F.array(*hits))
-    return F.when(F.size(found) == 0, "english").otherwise(F.array_join(found, ","))
+    array = lambda ws: F.array(*[F.lit(w) for w in ws])
+    # One pass finds the stopwords of all languages; the languages are then told apart on those few.
+    few = F.array_intersect(F.split(inner, r"\s+"), array(sorted({w for ws in STOPWORDS.values() for w in ws})))
+    flags = lambda x: F.array_join(F.array(*[F.when(F.size(F.array_intersect(x, array(ws))) >= least, F.lit(name)) for name, ws in STOPWORDS.items()]), ",")
+    joined = F.get(F.transform(F.array(few), flags), 0)
+    return F.regexp_replace(joined, "^$", "english")
 
 
 def article_type(title: Column) -> Column:

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lithos.functions.dates import epoch_noon
+from lithos.operators.ranks import numbered
 
 
 def star_tables(release: DataFrame, main_type: str = "Virus") -> dict[str, DataFrame]:
     """Five tables from (ord, ..., entities array<struct<type, normalized, id, start, end, section>>).
 
     Ids follow first appearance. Facts come from documents that mention ``main_type`` only,
-    counts of documents from all of them. Ids are assigned over distinct types and entities,
-    which are few beside the documents.
+    counts of documents from all of them.
     """
     every = release.select("ord", F.posexplode("entities").alias("pos", "e")).select("ord", "pos", "e.*")
     seen = every.groupBy("type", F.col("normalized").alias("name")).agg(
@@ -22,7 +22,7 @@ def star_tables(release: DataFrame, main_type: str = "Virus") -> dict[str, DataF
     kinds = seen.groupBy("type").agg(F.min("first").alias("first"))
     kinds = kinds.select(F.row_number().over(Window.orderBy("first")).alias("entitytype_id"), "type")
     entities = seen.join(F.broadcast(kinds), "type")  # one row for each type of a fixed list
-    entities = entities.select(F.row_number().over(Window.orderBy("first", "type", "name")).alias("entity_id"), "entitytype_id", "type", "name", "external_id", "doc_count")
+    entities = numbered(entities, ["first", "type", "name"], "entity_id").select("entity_id", "entitytype_id", "type", "name", "external_id", "doc_count")
     main = every.where(F.col("type") == main_type).select("ord").distinct()
     facts = every.join(main, "ord", "left_semi").withColumnRenamed("normalized", "name")
     facts = facts.join(entities.select("type", "name", "entity_id"), ["type", "name"]).select(F.col("ord").alias("document_id"), "entity_id").distinct()

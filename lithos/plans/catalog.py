@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lithos.plans import corpus, models, more, relational
+from lithos.plans import corpus, fixtures, models, more, relational
 
-QUERIES = corpus.QUERIES | relational.QUERIES | models.QUERIES | more.QUERIES
-ORACLE = corpus.ORACLE | relational.ORACLE | models.ORACLE | more.ORACLE
+QUERIES = corpus.QUERIES | relational.QUERIES | models.QUERIES | more.QUERIES | fixtures.QUERIES
+ORACLE = corpus.ORACLE | relational.ORACLE | models.ORACLE | more.ORACLE | fixtures.ORACLE

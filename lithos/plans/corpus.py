@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lithos.functions import text as tx
-from lithos.operators import analytics, dedupe, joins, mentions, rules
+from lithos.operators import analytics, dedupe, joins, mentions, ml, release, rules, star
 from lithos.session import table
+from lithos.sources import files, readers
+from lithos.streaming import incremental
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -113,17 +115,25 @@ def flagship(spark, d):
 
 
 @query("""SELECT doc_id FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 OR toxic = 1) l USING (doc_id)
-WHERE d.lang IN ('en', 'eng', 'english') AND (contains(lower(text), 'rights reserved') OR l.doc_id IS NOT NULL)""")
+WHERE d.lang IN ('en', 'eng', 'english') AND (regexp_matches(lower(text), '(^|[^a-z0-9_])rights reserved($|[^a-z0-9_])') OR l.doc_id IS NOT NULL)""")
 def relevance_filter(spark, d):
-    labelled = table(spark, d, "labels").where("quality = 1 or toxic = 1").select("doc_id", F.lit(True).alias("some")).distinct()
-    rows = table(spark, d, "documents").where(F.col("lang").isin("en", "eng", "english")).join(labelled, "doc_id", "left")
-    return rows.where(F.lower("text").contains("rights reserved") | F.col("some")).select("doc_id")
+    heading = F.array(F.lit("D1"))
+    labelled = table(spark, d, "labels").where("quality = 1 or toxic = 1").select("doc_id", heading.alias("mesh")).distinct()
+    rows = table(spark, d, "documents").where(release.is_english(F.col("lang"))).join(labelled, "doc_id", "left")
+    wanted = release.is_relevant(F.col("text"), F.lit(2018), F.col("mesh"), F.lit(None).cast("array<string>"), "virus", ["rights reserved"], ["D1"])
+    return rows.where(wanted).select("doc_id")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 OR quality = 0)")
+@query("""SELECT doc_id, 2 AS n_mentions FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) AND doc_id % 5 <> 0
+AND source NOT IN (SELECT 'src' || item_id FROM benchmark WHERE item_id < 3)""")
 def flag_filter(spark, d):
-    flagged = table(spark, d, "labels").where("toxic = 1 or quality = 0")
-    return table(spark, d, "documents").select("doc_id").join(flagged, "doc_id", "left_anti")
+    """The final filter: a fifth of the documents has no URL, toxic ones carry a flag, three sources are held back."""
+    flags = table(spark, d, "labels").where("toxic = 1").select("doc_id", F.array(F.lit("RemoveFromCorpus?")).alias("annotations")).distinct()
+    rows = table(spark, d, "documents").join(flags, "doc_id", "left").withColumn("doi", F.col("source")).withColumn("url", F.when(F.col("doc_id") % 5 != 0, "u"))
+    one = lambda x: F.array(F.lit(x))
+    rows = rows.withColumns({"entities": one("a"), "variants": F.array().cast("array<string>"), "viral_lineages": one("b")})
+    held = table(spark, d, "benchmark").where("item_id < 3").select(F.concat(F.lit("src"), "item_id").alias("doi"))
+    return release.final_filter(rows, held).select("doc_id", F.size("entities").alias("n_mentions"))
 
 
 @query("SELECT doc_id, quality, toxic FROM documents JOIN labels USING (doc_id)")
@@ -131,10 +141,9 @@ def labelled_only(spark, d):
     return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id").select("doc_id", "quality", "toxic")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id % 3 = 0")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def anti_processed(spark, d):
-    rows = table(spark, d, "documents").select("doc_id")
-    return rows.join(rows.where("doc_id % 3 != 0"), "doc_id", "left_anti")
+    return incremental.remaining(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
 @query("""WITH c AS (SELECT doc_id, nullif(source, 'src0') AS source_key FROM documents), p AS (SELECT * FROM c WHERE doc_id % 2 = 1),
@@ -160,12 +169,13 @@ def label_join(spark, d):
     return out.select("doc_id", F.array_join("labels", ",").alias("labels"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id = min(doc_id) OVER (PARTITION BY text) THEN 'new' ELSE 'reused' END AS status FROM documents")
+@query("""SELECT doc_id, CASE WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id % 100 = d.doc_id % 100 AND (l.quality = 1) IS NOT DISTINCT FROM nullif(d.lang = 'en', false)) THEN 'reused' ELSE 'new' END AS status FROM documents d""")
 def memo_split(spark, d):
-    """A text held by an earlier document is reused, else new; texts meet by two hashes."""
-    rows = table(spark, d, "documents").select("doc_id", F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
-    first = rows.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
-    return rows.join(first, ["a", "b"]).select("doc_id", F.when(F.col("doc_id") == F.col("first"), "new").otherwise("reused").alias("status"))
+    """Rows whose key pair, of which one part may be null, an earlier run holds are reused, the others new."""
+    rows = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 100).alias("a"), F.when(F.col("lang") == "en", True).alias("b"))
+    before = table(spark, d, "labels").select((F.col("doc_id") % 100).alias("a"), (F.col("quality") == 1).alias("b"), F.lit("x").alias("known"))
+    done, todo = joins.memo_split(rows, before, ["a", "b"])
+    return done.select("doc_id", F.lit("reused").alias("status")).unionByName(todo.select("doc_id", F.lit("new").alias("status")))
 
 
 @query("""WITH a AS (SELECT nullif(lang, 'de') AS lang, source, count(*) AS n FROM documents GROUP BY 1, 2),
@@ -255,23 +265,27 @@ def term_lookup(spark, d):
 
 
 _PHRASES = f"""{_LOOKUP}, b AS (SELECT item_id, {tokens_of('text')} AS w FROM benchmark),
-p AS (SELECT DISTINCT array_to_string(list_slice(w, i, i + n - 1), ' ') AS alias, n FROM b, range(1, 4) q(n), range(1, 2000) s(i) WHERE i + n - 1 <= len(w) AND list_has(list_slice(w, 1, 6), w[i]) AND n > 1 AND i <= 4
+p AS (SELECT DISTINCT array_to_string(list_slice(w, i, i + n - 1), ' ') AS alias, n FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM b), range(2, 4) q(n) WHERE i + n - 1 <= len(w)
   UNION SELECT alias, 1 FROM t),
 x AS (SELECT doc_id, {tokens_of('text')} AS w FROM documents),
 m AS (SELECT doc_id, i - 1 AS pos, n, alias FROM (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM x), range(1, 4) q(n) WHERE i + n - 1 <= len(w)) z JOIN (SELECT DISTINCT alias FROM p) a ON z.g = a.alias)"""
 
 
 def _phrase_lookup(spark, d):
-    """The terms, and the runs of two and three words that begin a benchmark item."""
+    """The terms, and all runs of two and three words of the benchmark items."""
     words = table(spark, d, "benchmark").select(_tokens(F.col("text")).alias("w"))
-    two = [F.when(F.size("w") >= i + n - 1, F.array_join(F.slice("w", i, n), " ")) for n in (2, 3) for i in range(1, 5)]
-    phrases = words.select(F.explode(F.array_compact(F.array(*two))).alias("alias"))
+
+    def runs(n):
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1))), lambda i: i + n - 1 <= F.size("w"))
+        return F.transform(starts, lambda i: F.array_join(F.slice("w", i, n), " "))
+
+    phrases = words.select(F.explode(F.concat(runs(2), runs(3))).alias("alias"))
     return phrases.unionByName(_terms(spark, d).select("alias")).distinct()
 
 
-def _mentioned(spark, d):
+def _mentioned(spark, d, only_longest=False):
     rows = table(spark, d, "documents").select("doc_id", _tokens(F.col("text")).alias("w"))
-    return mentions.ngram_mentions(rows, "w", _phrase_lookup(spark, d)).select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("n").cast("long").alias("n"), "alias")
+    return mentions.mentions(rows, "w", _phrase_lookup(spark, d), only_longest=only_longest).select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("n").cast("long").alias("n"), "alias")
 
 
 @query(f"WITH {_PHRASES} SELECT doc_id, pos, n, alias FROM m")
@@ -282,7 +296,7 @@ def ngram_mentions(spark, d):
 @query(f"""WITH {_PHRASES}, c AS (SELECT doc_id, pos AS p, n AS k, unnest(range(pos, pos + n)) AS q FROM m)
 SELECT doc_id, pos, n, alias FROM m WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = m.doc_id AND c.q = m.pos AND c.k > m.n AND m.pos + m.n <= c.p + c.k)""")
 def longest_match(spark, d):
-    return mentions.longest(_mentioned(spark, d)).select("doc_id", "pos", "n", "alias")
+    return _mentioned(spark, d, only_longest=True)
 
 
 @query(f"""WITH {_LOOKUP}, x AS (SELECT doc_id, {tokens_of('text')} AS w FROM documents),
@@ -293,7 +307,7 @@ def ambiguity_drop(spark, d):
     items = table(spark, d, "benchmark").select((F.col("item_id") % 7).alias("id"), F.explode(F.array_distinct(_tokens(F.col("text")))).alias("alias"))
     lookup = items.join(_terms(spark, d), "alias").select("alias", "id").distinct()
     rows = table(spark, d, "documents").select("doc_id", _tokens(F.col("text")).alias("w"))
-    hits = mentions.ngram_mentions(rows, "w", lookup, most=1)
+    hits = mentions.mentions(rows, "w", lookup)
     return mentions.unambiguous(hits).select("doc_id", F.col("pos").cast("long").alias("pos"), "alias")
 
 
@@ -334,7 +348,7 @@ def html_strip(spark, d):
 @query("""SELECT page_id, len(x) AS n_links, array_to_string(x, ',') AS links FROM
 (SELECT page_id, list_sort(list_distinct(regexp_extract_all(html, 'href="([^"]*)"', 1))) AS x FROM pages)""")
 def page_links(spark, d):
-    links = F.array_sort(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))))
+    links = files.link_paths(F.col("html"), ['(?<=href=)"[^"]*"'])
     return table(spark, d, "pages").select("page_id", F.size(links).cast("long").alias("n_links"), F.array_join(links, ",").alias("links"))
 
 
@@ -397,31 +411,29 @@ _ENT = "e AS (SELECT doc_id, 'lang' AS type, lang AS name FROM documents UNION A
 _DIM = "n AS (SELECT type, name, min(doc_id) AS f, count(DISTINCT doc_id) AS doc_count FROM e GROUP BY 1, 2), q AS (SELECT row_number() OVER (ORDER BY f, type, name) AS entity_id, * FROM n)"
 
 
-def _entities(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.inline(F.array(F.struct(F.lit("lang").alias("type"), F.col("lang").alias("name")), F.struct(F.lit("source").alias("type"), F.col("source").alias("name")))))
-    dim = rows.groupBy("type", "name").agg(F.min("doc_id").alias("f"), F.count_distinct("doc_id").alias("doc_count"))
-    from pyspark.sql import Window
-
-    # Distinct entities only, far fewer than rows.
-    return rows, dim.withColumn("entity_id", F.row_number().over(Window.orderBy("f", "type", "name")).cast("long"))
+def _star(spark, d):
+    """Languages and sources as the mentions of a release; every document has a language, the main type."""
+    e = lambda kind: F.struct(F.lit(kind).alias("type"), F.col(kind).alias("normalized"), F.col(kind).alias("id"), F.lit(0).alias("start"), F.lit(1).alias("end"), F.lit("title").alias("section"))
+    none = [F.lit(None).cast("int").alias(c) for c in ("publish_year", "publish_month", "publish_day")]
+    return star.star_tables(table(spark, d, "documents").select(F.col("doc_id").alias("ord"), *none, F.array(e("lang"), e("source")).alias("entities")), "lang")
 
 
 @query(f"WITH {_ENT}, {_DIM} SELECT entity_id, type, name, doc_count FROM q")
 def entity_dim(spark, d):
-    return _entities(spark, d)[1].select("entity_id", "type", "name", "doc_count")
+    return _star(spark, d)["entities"].select("entity_id", "type", "name", "doc_count")
 
 
 @query(f"WITH {_ENT}, {_DIM} SELECT DISTINCT doc_id, entity_id FROM e JOIN q USING (type, name)")
 def annotation_fact(spark, d):
-    rows, dim = _entities(spark, d)
-    return rows.join(dim, ["type", "name"]).select("doc_id", "entity_id").distinct()
+    return _star(spark, d)["annotations"].select(F.col("document_id").alias("doc_id"), "entity_id")
+
 
 
 @query("""WITH l AS (SELECT conv_id, role, turn, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC, text DESC) AS r FROM conversations)
 SELECT conv_id, role, turn, md5(text) AS text_key FROM l WHERE r = 1""")
 def file_supersede(spark, d):
-    last = table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.max(F.struct("turn", F.col("text"))).alias("s"))
-    return last.select("conv_id", "role", "s.turn", F.md5("s.text").alias("text_key"))
+    last = readers.latest_per_key(table(spark, d, "conversations").withColumn("key", F.struct("conv_id", "role")), "key", "turn", "text")
+    return last.select("conv_id", "role", "turn", F.md5("text").alias("text_key"))
 
 
 @query("""WITH x AS (SELECT toxic AS t, quality AS q, d.lang FROM documents d JOIN labels USING (doc_id)), y AS (SELECT 'toxic' AS label, t AS truth, CAST(lang = 'en' AS INTEGER) AS pred FROM x UNION ALL SELECT 'quality', q, CAST(lang IN ('en', 'fr') AS INTEGER) FROM x),
@@ -440,4 +452,4 @@ def eval_prf(spark, d):
 
 @query("SELECT vec_id, list_max(embedding) AS max_v FROM embeddings WHERE list_max(embedding) < 0.3")
 def undecided(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.array_max("embedding").alias("max_v")).where(F.col("max_v") < F.lit(0.3))
+    return table(spark, d, "embeddings").where(ml.undecided(F.col("embedding"), F.lit(0.3))).select("vec_id", F.array_max("embedding").alias("max_v"))

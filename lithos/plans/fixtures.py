@@ -1,0 +1,150 @@
+"""Queries over small made-up records, for rules whose cases the tables do not hold; the SQL lists the rows that must come out."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lithos.functions import text as tx
+from lithos.operators import dedupe, web
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def expected(columns: str, *rows: str):
+    """Registers a query whose result is the listed rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE[f.__name__] = f"SELECT {columns} FROM (VALUES {', '.join(rows)}) t({', '.join(c.split(' AS ')[-1] for c in columns.split(', '))})"
+        return f
+
+    return add
+
+
+LONG = "A title of well over twenty characters"
+ABSTRACT = "An abstract that is certainly longer than fifty characters, as the rule wants"
+RECORD = "ord long, cord_uid string, pubmed_id string, doi string, pmcid string, url string, title string, abstract string, authors string, journal string, publish_year int, publish_month int, publish_day int, extra boolean"
+
+
+def records(spark):
+    rows = [
+        # 1, 2 and 3 are one through 2: a DOI, then a PubMed id; the PubMed record has a date, so CORD's goes.
+        (1, "c1", "", "10.1/a", "", "", "Short", "x", "", "medRxiv", 2019, 1, 1, True),
+        (2, "c2", "7", "10.1/a", "", "https://www.ncbi.nlm.nih.gov/pubmed/7/; http://z", "A longer title", "abc", "", "Nature", 2021, 5, 9, None),
+        (3, "", "7", "", "PMC3", "http://www.ncbi.nlm.nih.gov/pubmed/7", "Long", "abcdef", "", "Nature", 2020, 6, None, False),
+        # 4 and 5 share year, title and journal in other case and punctuation; 6 has another year.
+        (4, "c4", "", "", "", "http://four;http://4", LONG, "", "", "The Lancet.", 2020, None, None, None),
+        (5, "c5", "", "", "", "", LONG.upper() + "!", "y", "", "the lancet", 2020, 3, None, None),
+        (6, "c6", "", "", "", "", LONG, "", "", "the lancet", 2021, None, None, None),
+        # A title of 19 characters links nothing; one of 20 does, by the abstract.
+        (7, "c7", "", "", "", "", "x" * 19, ABSTRACT, "A; B", "J", 2018, None, None, None),
+        (8, "c8", "", "", "", "", "x" * 19, ABSTRACT, "A; B", "J", 2018, None, None, None),
+        (9, "c9", "", "", "", "", "y" * 20, ABSTRACT, "", "", 2018, None, None, None),
+        (10, "c10", "", "", "", "", "y" * 20, ABSTRACT.upper(), "", "K", 2018, 2, 3, None),
+        # The same authors as a list and as a string are compared as written.
+        (11, "c11", "", "", "", "", "z" * 20, "", "A; B", "", 2017, None, None, None),
+        (12, "c12", "", "", "", "", "z" * 20, "", '["A","B"]', "", 2017, None, None, None),
+        (13, "c13", "", "", "", "", "z" * 20, "", "A; B", "L", 2017, None, None, None),
+    ]
+    return spark.createDataFrame(rows, RECORD)
+
+
+@expected("CAST(ord AS BIGINT) AS ord, CAST(group_id AS BIGINT) AS group_id", *[f"({a}, {b})" for a, b in [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 7), (8, 8), (9, 9), (10, 9), (11, 11), (12, 12), (13, 11)]])
+def merge_groups(spark, d):
+    """Records that share one of the seven keys."""
+    rows = records(spark)
+    return dedupe.duplicate_groups(rows, "ord", dedupe.merge_keys(rows)).select("ord", "group_id")
+
+
+@expected(
+    "CAST(group_id AS BIGINT) AS group_id, title, journal, CAST(y AS INTEGER) AS y, CAST(m AS INTEGER) AS m, CAST(d AS INTEGER) AS d, url, CAST(is_preprint AS BOOLEAN) AS is_preprint, CAST(extra AS BOOLEAN) AS extra, cord_uids, pubmed_urls",
+    "(1, 'A longer title', 'Nature', 2020, 6, NULL, 'https://doi.org/10.1/a', false, false, 'c1,c2', 'http://www.ncbi.nlm.nih.gov/pubmed/7,https://www.ncbi.nlm.nih.gov/pubmed/7')",
+    f"(4, '{LONG.upper()}!', 'the lancet', 2020, 3, NULL, 'http://four', false, NULL, 'c4,c5', '')",
+    f"(6, '{LONG}', 'the lancet', 2021, NULL, NULL, NULL, false, NULL, NULL, NULL)",
+    f"(7, '{'x' * 19}', 'J', 2018, NULL, NULL, NULL, false, NULL, NULL, NULL)",
+    f"(8, '{'x' * 19}', 'J', 2018, NULL, NULL, NULL, false, NULL, NULL, NULL)",
+    f"(9, '{'y' * 20}', 'K', 2018, 2, 3, NULL, false, NULL, 'c10,c9', '')",
+    f"(11, '{'z' * 20}', 'L', 2017, NULL, NULL, NULL, false, NULL, 'c11,c13', '')",
+    f"(12, '{'z' * 20}', '', 2017, NULL, NULL, NULL, false, NULL, NULL, NULL)",
+)
+def merged_documents(spark, d):
+    """One document a group: order of records, last non-empty values, dates, ids, URL and preprint flag."""
+    out = dedupe.merged_documents(records(spark))
+    ids = F.col("ids_from_merged_documents")
+    return out.select(
+        "group_id", "title", "journal", F.col("publish_year").alias("y"), F.col("publish_month").alias("m"), F.col("publish_day").alias("d"), "url", "is_preprint", "extra",
+        F.array_join(ids["cord_uid"], ",").alias("cord_uids"), F.array_join(ids["url"], ",").alias("pubmed_urls"),
+    )
+
+
+@expected("CAST(ord AS BIGINT) AS ord, fault", "(2, 'no id')", "(3, 'doi format')", "(4, 'date')", "(5, 'future date')", "(6, 'date')")
+def document_faults(spark, d):
+    """Documents that break a rule of the merged table."""
+    rows = [
+        (1, "10.1/ab", "", "", "", 2020, 2, 29), (2, "", "", "", "", 2020, None, None), (3, "doi:10.1/a", "", "", "", 2020, 1, None), (4, "", "1", "", "", 2019, 2, 29),
+        (5, "", "", "c", "", 2020, 6, 2), (6, "", "", "", "u", None, 3, None), (7, "", "", "", "u", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "ord long, doi string, pubmed_id string, cord_uid string, url string, publish_year int, publish_month int, publish_day int")
+    return dedupe.document_faults(df, F.to_date(F.lit("2020-06-01")))
+
+
+@expected("CAST(ord AS BIGINT) AS ord, released, queued", "(1, 'https://doi.org/10.1/a', 'pm5')", "(2, 'https://www.ncbi.nlm.nih.gov/pmc/articles/PMC2', 'x')", "(3, 'https://pubmed.ncbi.nlm.nih.gov/5', 'pm5')", "(4, 'http://first', 'http://first')", "(5, NULL, NULL)")
+def url_priorities(spark, d):
+    """The URL by priority of ids, for a release and for the annotation queue."""
+    rows = [(1, "10.1/a", "PMC1", "5", "http://u"), (2, "", "PMC2", "", "x;y"), (3, None, " ", "5", ""), (4, "", "", "", "http://first;http://second"), (5, "", None, "", "")]
+    df = spark.createDataFrame(rows, "ord long, doi string, pmcid string, pubmed_id string, url string")
+    c = F.col
+    queued = tx.first_url(F.when(c("pubmed_id") != "", F.concat(F.lit("pm"), "pubmed_id")), F.when(c("doi") != "", F.concat(F.lit("doi"), "doi")), c("url"))
+    return df.select("ord", tx.canonical_url(c("doi"), c("pmcid"), c("pubmed_id"), c("url")).alias("released"), queued.alias("queued"))
+
+
+def pages(spark):
+    meta = [
+        (1, "", "Journal One", {"citation_abstract": ["<b>" + "w" * 120 + "</b>"], "abstract": ["//" + "c" * 300, "v" * 119]}),
+        (2, "own", "journal one", {"citation_abstract": ["w" * 200]}),
+        (3, "", "Journal One", {"description": ["d" * 300], "journal_title": ["J. One"]}),
+        (4, "", "journal one", {"abstract": ["漢" * 150, "s" * 100], "citation_journal_title": ["漢字", "J. One"]}),
+        (5, "", "Journal One", {"DC.abstract": ["b" * 130, "a" * 130], "journal": ["Other name"]}),
+        (6, "", "bioRxiv", {"journal": ["A server"]}),
+        (7, "", "JJJ", {"journal": ["Short"]}),
+        (8, "", "Alone", None),
+    ]
+    return spark.createDataFrame(meta, "ord long, abstract string, journal string, meta map<string,array<string>>")
+
+
+@expected("CAST(ord AS BIGINT) AS ord, abstract", f"(1, '{'w' * 120}')", "(2, 'own')", "(3, '')", "(4, '')", f"(5, '{'a' * 130}')", "(6, '')", "(7, '')", "(8, '')")
+def web_abstracts(spark, d):
+    """Missing abstracts from the tags of scraped pages."""
+    return pages(spark).select("ord", web.backfilled_abstract(F.col("abstract"), F.col("meta")).alias("abstract"))
+
+
+@expected("CAST(ord AS BIGINT) AS ord, journal", "(1, 'J. One')", "(2, 'J. One')", "(3, 'J. One')", "(4, 'J. One')", "(5, 'Other name')", "(6, 'bioRxiv')", "(7, 'JJJ')", "(8, 'Alone')")
+def web_journals(spark, d):
+    """Journal names from scraped pages, and the most frequent one where a page has none."""
+    return web.web_journal(pages(spark)).select("ord", "journal")
+
+
+@expected(
+    "CAST(ord AS BIGINT) AS ord, kind",
+    "(1, 'Retracted')", "(2, 'Erratum')", "(3, 'News')", "(4, 'Comment/Editorial')", "(5, 'Comment/Editorial')", "(6, CAST(NULL AS VARCHAR))", "(7, 'Book chapter')", "(8, NULL)",
+    "(9, 'Meta-analysis')", "(10, 'Review')", "(11, 'Research')", "(12, 'Research')", "(13, NULL)", "(14, 'Research')", "(15, 'Retracted')",
+)
+def web_kinds(spark, d):
+    """Article types by page tags, publication types, titles and one journal's own words."""
+    rows = [
+        (1, "RETRACTED: x", "J", {"dc.type": ["News"]}, None), (2, "Correction to x", "J", {"category": ["Review"]}, []), (3, "x", "J", {}, ["Newspaper Article"]),
+        (4, "x", "J", {"WT.cg_s": [" World View "]}, None), (5, "x", "Science", {"prism.section": ["Letter"]}, None), (6, "x", "Nature", {"prism.section": ["Letter"]}, None),
+        (7, "Chapter 3 of x", "J", None, None), (8, "chapter 3 of x", "J", None, None), (9, "x", "J", None, ["Systematic Review", "Clinical Trial, Phase I"]),
+        (10, "x", "J", {"citation_keywords": ["virus", "short review"]}, None), (11, "x", "J", {"articleType": ["Case-Report"]}, None), (12, "x", "J", None, ["Randomized Clinical Trial"]),
+        (13, "x", "J", {"dc.Type": ["research" + " " * 50]}, None), (14, "x", "J", {"DC.Subject": ["Research Letter"]}, None), (15, "x", "J", {"dc.Type": ["Erratum"], "category": ["Retraction"]}, None),
+    ]
+    df = spark.createDataFrame(rows, "ord long, title string, journal string, meta map<string,array<string>>, pubtypes array<string>")
+    return df.select("ord", web.inferred_article_type(F.col("title"), F.col("meta"), F.col("pubtypes"), F.col("journal")).alias("kind"))
+
+
+@expected("CAST(ord AS BIGINT) AS ord, journal", "(1, 'medRxiv')", "(2, 'bioRxiv')", "(3, 'ChemRxiv')", "(4, 'arXiv')", "(5, 'Nature')")
+def journal_names(spark, d):
+    """Names of preprint servers in one spelling."""
+    rows = [(1, "MedRxiv : the preprint server for health sciences"), (2, "biorxiv.org"), (3, "CHEMRXIV"), (4, "arXiv.org e-Print archive"), (5, "Nature")]
+    return spark.createDataFrame(rows, "ord long, journal string").select("ord", tx.canonical_journal(F.col("journal")).alias("journal"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lithos.functions import dates
-from lithos.operators import analytics, web
+from lithos.operators import analytics, mentions, web
 from lithos.session import table
 
 QUERIES: dict = {}
@@ -86,8 +86,8 @@ def fold_entities(spark, d):
 
 @query("SELECT DISTINCT lower(trim(p_name)) AS alias FROM part WHERE length(trim(p_name)) > 3 AND NOT contains(p_name, '/')")
 def alias_hygiene(spark, d):
-    name = F.lower(F.trim("p_name"))
-    return table(spark, d, "part").where((F.length(F.trim("p_name")) > 3) & ~F.col("p_name").contains("/")).select(name.alias("alias")).distinct()
+    terms = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("part").alias("type"), F.col("p_name").alias("name"), F.array("p_name").alias("aliases"))
+    return mentions.term_lookup(terms).select("alias").distinct()
 
 
 @query("""SELECT regexp_extract(lower(url), '^https?://(?:www\\.)?([^/?#]+)', 1) AS host, count(*) AS n FROM pages WHERE NOT contains(url, 'ncbi.nlm.nih.gov') AND NOT ends_with(url, '.pdf') GROUP BY 1""")

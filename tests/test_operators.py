@@ -148,7 +148,7 @@ def test_star_schema(spark):
 
 
 def test_web(spark):
-    df = spark.createDataFrame([(0, "", "Jx", {"description": ["<b>" + "w" * 120 + "</b>", "//" + "c" * 200], "citation_journal_title": ["Journal X"], "articleType": ["Editorial"]}, None), (1, "kept", "jx", {}, ["Retracted Publication"])], "ord long, abstract string, journal string, meta map<string,array<string>>, pub array<string>")
+    df = spark.createDataFrame([(0, "", "Jour X", {"citation_abstract": ["<b>" + "w" * 120 + "</b>", "//" + "c" * 200], "citation_journal_title": ["Journal X"], "articleType": ["Editorial"]}, None), (1, "kept", "jour x", {}, ["Retracted Publication"])], "ord long, abstract string, journal string, meta map<string,array<string>>, pub array<string>")
     got = web.web_journal(df).select("ord", web.backfilled_abstract(F.col("abstract"), F.col("meta")).alias("a"), "journal", web.inferred_article_type(F.lit("t"), F.col("meta"), F.col("pub")).alias("k"))
     assert rows_of(got) == [(0, "w" * 120, "Journal X", "Comment/Editorial"), (1, "kept", "Journal X", "Retracted")]
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c"), ("z", "y")], "child string, parent string")
