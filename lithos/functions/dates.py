@@ -6,8 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_partial(text: Column) -> Column:
-    """A struct (year, month, day) from '', 'YYYY' or 'YYYY-MM-DD'; other lengths give nulls."""
+def parse_partial(text: Column, strict: bool = False) -> Column:
+    """A struct (year, month, day) from '', 'YYYY' or 'YYYY-MM-DD'; other lengths give nulls, or an error if ``strict``."""
+    if strict:
+        fault = F.raise_error(F.concat(F.lit("not a partial date: "), text)).cast("string")
+        text = F.when(F.length(text).isin(0, 4, 10), text).otherwise(F.when(text.isNotNull(), fault))
     part = lambda a, n: F.substring(text, a, n).try_cast("int")
     long = F.length(text) == 10
     return F.struct(

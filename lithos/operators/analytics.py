@@ -76,3 +76,22 @@ def prf(rows: DataFrame, truth: str, predicted: str, label: str = "label") -> Da
     whole = [F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]
     macro = each.agg(F.lit("MACRO").alias(label), *whole, *[F.avg(c).alias(c) for c in ("p", "r", "f1")])
     return each.unionByName(micro).unionByName(macro)
+
+
+def share_where(rows: DataFrame, test: Column) -> DataFrame:
+    """``(n, total, percent)``: how many rows pass, of how many, rounded to one place."""
+    counts = rows.agg(F.count_if(test).alias("n"), F.count("*").alias("total"))
+    return counts.withColumn("percent", F.round(100 * F.try_divide("n", "total"), 1))
+
+
+def monthly(rows: DataFrame, date: Column, *keys: str) -> DataFrame:
+    """``(keys, month, n)`` with months as their first day; rows without a date go."""
+    return rows.where(date.isNotNull()).groupBy(*keys, F.trunc(date, "month").alias("month")).agg(F.count("*").alias("n"))
+
+
+def branch_trends(rows: DataFrame, branch: Column, topic: str, date: Column, k: int = 5) -> DataFrame:
+    """``(branch, topic, month, n)`` of the ``k`` most frequent topics of each branch, the lesser name first among equals."""
+    counts = monthly(rows.withColumn("branch", branch), date, "branch", topic)
+    totals = counts.groupBy("branch", topic).agg(F.sum("n").alias("__t"))
+    best = top_per_group(totals, "branch", k, [F.desc("__t"), F.col(topic)]).select("branch", topic)
+    return counts.join(best, ["branch", topic])

@@ -111,3 +111,45 @@ def sections(hits: DataFrame, title_length: str) -> DataFrame:
     inside = F.col("end") <= F.col(title_length)
     shift = F.when(inside, 0).otherwise(F.col(title_length) + 1)
     return hits.withColumns({"section": F.when(inside, "title").otherwise("abstract"), "start": F.col("start") - shift, "end": F.col("end") - shift})
+
+
+def without_type(hits: DataFrame, type_name: str = "conflicting") -> DataFrame:
+    """Hits but for one type, whose longer matches have masked what they cover; call it after the longest hits are found."""
+    return hits.where(F.col("type") != type_name)
+
+
+def split_ids(hits: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row for each id of those joined by ";" at one place."""
+    return hits.withColumn(id_col, F.explode(F.split(id_col, ";")))
+
+
+def place_lookup(terms: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(alias, id, longitude, latitude)`` of terms of the ``classes`` (node) that have coordinates; aliases keep their case."""
+    rows = terms.join(classes.select(F.col("node").alias("class")), "class", "left_semi").where("longitude is not null and latitude is not null")
+    aliases = F.array_distinct(F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name")))
+    rows = rows.select(F.explode(aliases).alias("alias"), "id", "longitude", "latitude")
+    return rows.where((F.length("alias") > 3) & ~F.col("alias").contains("/")).distinct()
+
+
+def curated_terms(curated: DataFrame, labels: DataFrame, predefined: DataFrame) -> DataFrame:
+    """``(id, type, name, aliases)``: curated rows (type, id, aliases by "|") with the labels (id, label) of their ids; predefined terms replace those of their id.
+
+    The first alias is the name, of several rows of an id the last by type and aliases; aliases are sorted and distinct.
+    """
+    parts = F.split("aliases", "\\|")
+    own = curated.select("id", "type", "aliases", F.get(parts, F.lit(0)).alias("name"), parts.alias("all"))
+    own = own.groupBy("id").agg(F.max(F.struct("type", "aliases", "name")).alias("last"), F.flatten(F.collect_list("all")).alias("all"))
+    found = labels.groupBy("id").agg(F.collect_set("label").alias("labels"))
+    none = F.array().cast("array<string>")
+    made = own.join(found, "id", "left").select("id", "last.type", "last.name", F.concat("all", F.coalesce("labels", none)).alias("aliases"))
+    made = made.join(predefined.select("id"), "id", "left_anti").unionByName(predefined.select("id", "type", "name", F.coalesce("aliases", none).alias("aliases")))
+    return made.withColumn("aliases", F.array_sort(F.array_distinct("aliases")))
+
+
+def from_manifest(files: list[tuple[str, DataFrame]]) -> DataFrame:
+    """``(load_order, type, id, name, aliases)`` of dictionary files in the manifest's order; all terms of a file get its type, but for "custom" ones, which keep theirs."""
+    out = None
+    for i, (kind, terms) in enumerate(files):
+        rows = terms.select(F.lit(i).alias("load_order"), (F.col("type") if kind == "custom" else F.lit(kind)).alias("type"), "id", "name", "aliases")
+        out = rows if out is None else out.unionByName(rows)
+    return out

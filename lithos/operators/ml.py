@@ -121,3 +121,36 @@ def what_if(train: DataFrame, pool: DataFrame, candidates: DataFrame, low: float
         return pd.DataFrame({"id": [key[0]], "if_0": [counts[0]], "if_1": [counts[1]], "mean": [sum(counts) / 2], "least": [min(counts)]})
 
     return candidates.select("id", "x").groupBy("id").applyInPandas(one, "id long, if_0 long, if_1 long, mean double, least long")
+
+
+def chosen(docs: DataFrame, mode: str, order: str, score: str | None = None, popularity: str | None = None, least: float = 0.5) -> DataFrame:
+    """The one document to annotate next, the last by ``order`` among equals.
+
+    ``mode`` is "bestoutcome" (highest ``score``, an expected change), "popular" (highest ``popularity``; with ``score``,
+    a label's, only above ``least``) or "confident" (highest ``score``, a label's).
+    """
+    if mode == "popular":
+        rows = docs.where(F.col(popularity).isNotNull())
+        rows, key = (rows.where(F.col(score) > least) if score else rows), popularity
+    elif mode in ("bestoutcome", "confident") and score:
+        rows, key = docs, score
+    else:
+        raise ValueError(f"no such mode, or one that needs a score: {mode}")
+    return rows.orderBy(F.desc(key), F.desc(order)).limit(1)
+
+
+def coverage(undecided_rows: DataFrame, challenge: DataFrame) -> DataFrame:
+    """``(coverage)``: one minus the share of challenge documents that are undecided, to three places."""
+    n, m = undecided_rows.agg(F.count("*").alias("u")), challenge.agg(F.count("*").alias("c"))
+    return n.crossJoin(m).select(F.round(1 - F.try_divide("u", "c"), 3).alias("coverage"))  # one row each
+
+
+def queue_rows(document: DataFrame, doc_col: str, task: int, feature_hash: Column, covered: DataFrame) -> DataFrame:
+    """``(document_id, task_id, dochash, current_coverage)`` to append to the queue."""
+    rows = document.select(F.col(doc_col).alias("document_id"), F.lit(task).alias("task_id"), feature_hash.alias("dochash"))
+    return rows.crossJoin(covered.select(F.col("coverage").alias("current_coverage")))  # one document, one number
+
+
+def replace_table(rows: DataFrame, path: str) -> None:
+    """Writes a table of confidences in place of the one that is there."""
+    rows.write.mode("overwrite").parquet(path)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lithos.functions import dates
 from lithos.functions import text as tx
-from lithos.operators import dedupe, web
+from lithos.operators import dedupe, mentions, release, web
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -148,3 +149,77 @@ def journal_names(spark, d):
     """Names of preprint servers in one spelling."""
     rows = [(1, "MedRxiv : the preprint server for health sciences"), (2, "biorxiv.org"), (3, "CHEMRXIV"), (4, "arXiv.org e-Print archive"), (5, "Nature")]
     return spark.createDataFrame(rows, "ord long, journal string").select("ord", tx.canonical_journal(F.col("journal")).alias("journal"))
+
+
+@expected("CAST(doc_id AS BIGINT) AS doc_id, CAST(pos AS BIGINT) AS pos, CAST(n AS BIGINT) AS n, id", "(1, 0, 2, 'd1')", "(1, 0, 2, 'd2')", "(1, 7, 4, 'x4')", "(2, 1, 1, 'd3')")
+def masked_mentions(spark, d):
+    """Longest matches of any length; a conflicting term masks what it covers, and joined ids come apart."""
+    terms = [("spike protein", "Gene", "d1;d2"), ("spike", "Gene", "d3"), ("spike protein of nothing", "conflicting", "c"), ("a b c d", "Other", "x4"), ("b c", "Other", "x2")]
+    lookup = spark.createDataFrame(terms, "alias string, type string, id string")
+    rows = [(1, "spike protein and spike protein of nothing a b c d"), (2, "the spike"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.split("text", " ").alias("w"))
+    hits = mentions.mentions(docs, "w", lookup, only_longest=True)
+    out = mentions.split_ids(mentions.without_type(hits))
+    return out.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("n").cast("long").alias("n"), "id")
+
+
+@expected("CAST(ord AS BIGINT) AS ord, viruses", "(1, 'SARS-CoV-2')", "(2, 'SARS-CoV')", "(3, '')", "(4, 'MERS-CoV,SARS-CoV')", "(5, 'SARS-CoV-2')", "(6, 'SARS-CoV-2')")
+def plausible_viruses(spark, d):
+    """Viruses that a document of its year can mean."""
+    rows = [(1, ["SARS-CoV", "SARS-CoV-2"], 2020), (2, ["SARS-CoV", "SARS-CoV-2"], 2005), (3, ["MERS-CoV"], 1999), (4, ["MERS-CoV", "SARS-CoV"], 2013), (5, ["SARS-CoV-2", "MERS-CoV"], None), (6, ["SARS-CoV-2"], 0)]
+    df = spark.createDataFrame(rows, "ord long, viruses array<string>, year int")
+    return df.select("ord", F.array_join(F.array_sort(release.plausible_viruses(F.col("viruses"), F.col("year"))), ",").alias("viruses"))
+
+
+@expected("CAST(doc_id AS BIGINT) AS doc_id, CAST(start AS BIGINT) AS start, id", "(1, 0, 's1')", "(1, 9, 'g')", "(1, 9, 's1')", "(2, 9, 'g')", "(2, 9, 's1')")
+def virus_dependent(spark, d):
+    """Proteins of several viruses: those of a document's only virus; a place with another kind of candidate keeps all."""
+    c = [(0, "s1", "SARS-CoV"), (0, "s2", "SARS-CoV-2"), (9, "s1", "SARS-CoV"), (9, "g", None)]
+    rows = [(i, a, a + 5, x, v, vs) for i, vs in ((1, ["SARS-CoV"]), (2, ["SARS-CoV", "SARS-CoV-2"])) for a, x, v in c]
+    df = spark.createDataFrame(rows, "doc_id long, start long, end long, id string, associated_virus string, viruses array<string>")
+    return release.resolve_by_virus(df, "viruses").select("doc_id", "start", "id")
+
+
+@expected("CAST(doc_id AS BIGINT) AS doc_id, text", "(1, 'Reading')", "(3, 'reading')")
+def exact_case_places(spark, d):
+    """Locations only in the case of one of their aliases; other types in any."""
+    hits = spark.createDataFrame([(1, "Location", "q1", "Reading"), (2, "Location", "q1", "reading"), (3, "Drug", "q2", "reading")], "doc_id long, type string, id string, text string")
+    aliases = spark.createDataFrame([("q1", "Reading"), ("q1", "Reading, UK"), ("q2", "Reading")], "id string, alias string")
+    return release.exact_case(hits, aliases).select("doc_id", "text")
+
+
+@expected("alias, id", "('Paris', 'p')", "('PARIS', 'p')", "('City of Light', 'p')")
+def place_terms(spark, d):
+    """Places of the classes below one, with coordinates, in their own case."""
+    edges = spark.createDataFrame([("city", "place"), ("capital", "city")], "child string, parent string")
+    rows = [("p", "capital", "Paris", ["PARIS", "City of Light", "Par"], 2.3, 48.8), ("q", "river", "Seine", [], 1.0, 49.0), ("r", "city", "Nowhere", [], None, None)]
+    terms = spark.createDataFrame(rows, "id string, class string, name string, aliases array<string>, longitude double, latitude double")
+    return mentions.place_lookup(terms, web.transitive(edges, "place")).select("alias", "id")
+
+
+@expected("CAST(load_order AS INTEGER) AS load_order, type, id, name, aliases", "(0, 'Drug', 'q1', 'aspirin', 'Aspirin,asa,aspirin')", "(0, 'Drug', 'q2', 'mine', 'own')", "(1, 'Topic', 'q2', 'mine', 'own')", "(1, 'Virus', 'q1', 'aspirin', 'Aspirin,asa,aspirin')")
+def dictionary_files(spark, d):
+    """Curated terms with labels and predefined ones, loaded in the manifest's order with its types."""
+    curated = spark.createDataFrame([("Virus", "q1", "aspirin|asa"), ("Virus", "q2", "old|older")], "type string, id string, aliases string")
+    labels = spark.createDataFrame([("q1", "Aspirin"), ("q9", "none")], "id string, label string")
+    predefined = spark.createDataFrame([("q2", "Topic", "mine", ["own"])], "id string, type string, name string, aliases array<string>")
+    terms = mentions.curated_terms(curated, labels, predefined)
+    out = mentions.from_manifest([("Drug", terms), ("custom", terms)])
+    return out.withColumn("aliases", F.array_join("aliases", ","))
+
+
+@expected("CAST(ord AS BIGINT) AS ord, journal, abstract, tool, CAST(y AS INTEGER) AS y, CAST(m AS INTEGER) AS m, labels", "(1, 'medRxiv', 'Text.', 'medrxiv', 2020, 3, 'Molecular Biology,Therapeutics')", "(2, 'bioRxiv', 'Abstracted', 'ISO', 2019, NULL, '')", "(3, 'J', '', 'J', NULL, NULL, 'Other')")
+def annotation_fields(spark, d):
+    """Journal by source, abstract, journal and date for the annotation tool, and labels in groups."""
+    rows = [
+        (1, "Nature", "medrxiv", None, " ABSTRACT:. Text. ", "2020-03-01", ["Viral Biology", "Drug Repurposing", "Host Biology", "Review"]),
+        (2, "x", "BioRxiv", "ISO", "abstractAbstracted", "2019", ["None"]), (3, "J", None, None, "abstract", "", ["Other", "Other"]),
+    ]
+    df = spark.createDataFrame(rows, "ord long, journal string, source string, iso string, abstract string, time string, labels array<string>")
+    # Groups of labels, and labels that are no topics.
+    groups = {"Host Biology": "Molecular Biology", "Viral Biology": "Molecular Biology", "Drug Targets": "Molecular Biology", "Drug Repurposing": "Therapeutics", "Novel Therapeutics": "Therapeutics"}
+    c, date = F.col, dates.parse_partial(F.col("time"), strict=True)
+    return df.select(
+        "ord", tx.canonical_journal(c("journal"), c("source")).alias("journal"), tx.annotation_abstract(c("abstract")).alias("abstract"), tx.annotation_journal(c("journal"), c("iso"), c("source")).alias("tool"),
+        date["year"].alias("y"), date["month"].alias("m"), F.array_join(tx.regrouped(c("labels"), groups, ["Review", "None"]), ",").alias("labels"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lithos.functions import dates
-from lithos.operators import analytics, mentions, web
+from lithos.operators import analytics, mentions, ml, web
 from lithos.session import table
 
 QUERIES: dict = {}
@@ -116,3 +116,52 @@ def partial_dates(spark, d):
     t = F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 1, F.date_format("o_orderdate", "yyyy")).otherwise("")
     rows = table(spark, d, "orders").select("o_orderkey", t.alias("t"))
     return rows.select("o_orderkey", dates.parse_partial(F.col("t")).alias("p")).select("o_orderkey", "p.*")
+
+
+@query("SELECT count(*) FILTER (event_type = 'purchase' AND value > 50) AS n, count(*) AS total, round(100 * count(*) FILTER (event_type = 'purchase' AND value > 50) / count(*), 1) AS percent FROM events")
+def share_where(spark, d):
+    """A count under a condition with its percentage."""
+    return analytics.share_where(table(spark, d, "events"), (F.col("event_type") == "purchase") & (F.col("value") > 50))
+
+
+@query("SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS n FROM events GROUP BY 1, 2")
+def monthly_counts(spark, d):
+    return analytics.monthly(table(spark, d, "events"), F.to_date("ts"), "event_type")
+
+
+@query("""WITH r AS (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' ELSE 'other' END AS branch, o_custkey % 20 AS topic, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
+t AS (SELECT branch, topic, row_number() OVER (PARTITION BY branch ORDER BY count(*) DESC, topic) AS k FROM r GROUP BY 1, 2)
+SELECT branch, topic, month, count(*) AS n FROM r JOIN t USING (branch, topic) WHERE k <= 5 GROUP BY 1, 2, 3""")
+def branch_trends(spark, d):
+    """Monthly counts of the five most frequent topics of two branches that exclude each other."""
+    rows = table(spark, d, "orders").withColumn("topic", F.col("o_custkey") % 20)
+    branch = F.when(F.col("o_orderpriority") == "1-URGENT", "urgent").otherwise("other")
+    return analytics.branch_trends(rows, branch, "topic", F.to_date("o_orderdate"))
+
+
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1")
+def topic_series(spark, d):
+    return analytics.monthly(table(spark, d, "orders").where("o_orderpriority = '5-LOW'"), F.to_date("o_orderdate"))
+
+
+@query("""WITH v AS (SELECT vec_id, embedding[1] AS score, embedding[2] AS pop FROM embeddings)
+SELECT 'bestoutcome' AS mode, (SELECT vec_id FROM v ORDER BY score DESC, vec_id DESC LIMIT 1) AS vec_id UNION ALL SELECT 'popular', (SELECT vec_id FROM v ORDER BY pop DESC, vec_id DESC LIMIT 1)
+UNION ALL SELECT 'popular label', (SELECT vec_id FROM v WHERE score > 0.1 ORDER BY pop DESC, vec_id DESC LIMIT 1) UNION ALL SELECT 'confident', (SELECT vec_id FROM v ORDER BY score DESC, vec_id DESC LIMIT 1)""")
+def next_to_annotate(spark, d):
+    """The document each mode of selection picks."""
+    v = table(spark, d, "embeddings").select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("score"), F.get("embedding", F.lit(1)).cast("double").alias("pop"))
+    modes = {"bestoutcome": ("bestoutcome", "score", None), "popular": ("popular", None, "pop"), "popular label": ("popular", "score", "pop"), "confident": ("confident", "score", None)}
+    out = None
+    for name, (mode, score, pop) in modes.items():
+        one = ml.chosen(v, mode, "vec_id", score, pop, 0.1).select(F.lit(name).alias("mode"), "vec_id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("""WITH u AS (SELECT * FROM embeddings WHERE list_max(embedding) < 0.3), c AS (SELECT round(1 - (SELECT count(*) FROM u) / (SELECT count(*) FROM embeddings), 3) AS coverage)
+SELECT vec_id AS document_id, 3 AS task_id, 'focus_x' AS dochash, coverage AS current_coverage FROM c, (SELECT vec_id FROM u ORDER BY embedding[1] DESC, vec_id DESC LIMIT 1)""")
+def annotation_queue(spark, d):
+    """The row that goes into the queue: the document, its task, a hash and how much is decided."""
+    v = table(spark, d, "embeddings").withColumn("score", F.get("embedding", F.lit(0)))
+    few = v.where(ml.undecided(F.col("embedding"), F.lit(0.3)))
+    return ml.queue_rows(ml.chosen(few, "confident", "vec_id", "score"), "vec_id", 3, F.lit("focus_x"), ml.coverage(few, v))
