@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lithos.session import staged
+from lithos.session import discard, staged
 
 
 def _pointed(pairs: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         large = large.where("u != v").distinct()
         small = _pointed(large)  # here u > v always
         small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        pairs = staged(small.where("u != v").distinct(), "edges")
+        last, pairs = pairs, staged(small.where("u != v").distinct(), "edges")
+        discard(last)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -33,7 +33,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, folder = _file_system(spark, path)
+    files.deleteOnExit(folder)  # when the session's JVM ends
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``staged`` wrote, once nothing reads it any more."""
+    path = getattr(df, "staged_at", None)
+    if path:
+        files, folder = _file_system(df.sparkSession, path)
+        files.delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
