@@ -7,24 +7,26 @@ or more. A document sends a fingerprint once for each run of windows that share
 least once in every ``window - gram + 1`` windows; a hit is then extended to each window
 it stands for, and each is held word by word against the item's windows.
 
-A document sends only fingerprints whose bit is set in a bitmap of the benchmark's, of fixed
-size, so few rows reach the join; that one shuffles, and each row carries the few words its
+A document sends only fingerprints whose bit is set in a bitmap of the benchmark's, with 16 bits
+or more for each up to ``most_bits``, so few rows reach the join; that one shuffles, and each row carries the few words its
 fingerprint stands for.
 
 Defined results: null and empty texts have no words and no hits; an item with fewer words
-than a window is one window, an item without words none. Each row of ``docs`` gives a row,
-repeated ids included; repeated items count once. No items: ``items_sha256`` of "".
+than a window is one window, an item without words none. An item without an id counts for hits but is
+not among the items found. Each row of ``docs`` gives a row,
+repeated ids included; rows are told apart by their places, so ``docs`` should be a table. Repeated items count once. No items: ``items_sha256`` of "".
 Other columns of either input, of any name, are not read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lithos.llm.words import words
+from lithos.session import staged
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,7 @@ class Params:
     window: int = 10
     gram: int = 5
     bits: int = 17
+    most_bits: int = 22
 
     @property
     def span(self) -> int:
@@ -51,7 +54,7 @@ def _windows_of(items: DataFrame, p: Params, item_col: str, text_col: str) -> Da
 
 
 def _bitmap(bench: DataFrame, p: Params) -> Column:
-    """Whether a fingerprint may be one of the benchmark's: a bit of ``2 ** p.bits``, whatever the benchmark's size."""
+    """Whether a fingerprint may be one of the benchmark's: a bit of ``2 ** p.bits``."""
     bit = F.col("fp").bitwiseAND(F.lit((1 << p.bits) - 1))
     rows = bench.select(F.shiftright(bit, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(fp & 63L as int))").alias("bit"))
     longs = [0] * (1 << max(0, p.bits - 6))
@@ -90,8 +93,9 @@ def contamination(docs: DataFrame, items: DataFrame, p: Params = Params(), id_co
     ``hits`` has the first words (from 0) of the windows found with their lengths. Columns of
     ``docs`` named in ``keep`` are returned too.
     """
-    bench = _windows_of(items, p, item_col, item_text_col).cache()
+    bench = staged(_windows_of(items, p, item_col, item_text_col), "windows")
     sizes = {r.len: r.n for r in bench.groupBy("len").agg(F.count("*").alias("n")).collect()}
+    p = replace(p, bits=max(p.bits, min(p.most_bits, (16 * sum(sizes.values())).bit_length())))
     short = sorted(k for k in sizes if k < p.window)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("own"), words(F.col(text_col)).alias("w"))

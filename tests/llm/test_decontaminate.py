@@ -64,3 +64,16 @@ def test_empty_tables(spark):
     assert run(spark, [], items) == []
     got = run(spark, docs[:4], [])
     assert [x[2:] for x in got] == [(0, [], False)] * 4
+
+
+def test_an_item_without_an_id_counts_for_hits_only(spark):
+    items = [(None, "a b c d e f g h i j"), (3, "d e f g h i j k l m")]
+    got = run(spark, [(1, "x a b c d e f g h i j y"), (2, "a b c d e f g h i j k l m")], items)
+    assert got == [(1, 12, 10, [], True), (2, 13, 13, ["3"], True)]
+
+
+def test_very_long_text(spark):
+    rnd = random.Random(4)
+    w = [f"w{rnd.randrange(10**6)}" for _ in range(60_000)]
+    item = " ".join(w[40_000:40_012])
+    assert run(spark, [(1, " ".join(w))], [(9, item)]) == [(1, 60_000, 12, ["9"], True)]
