@@ -10,7 +10,7 @@ of pieces of each length, at most ``tokens`` numbers whatever the corpus. Bins w
 same history are one group, a range of sequence numbers, and one step fills or splits a
 whole group. The plan is a table of such steps, bounded by the number of lengths too; each
 piece finds its place from its length and its rank among pieces of that length. Ranks come
-from salted windows, so one very common length is ranked by many tasks.
+from windows of about ``ranked`` pieces, so one very common length is ranked by many tasks.
 
 Defined results: a null text counts as empty; every document ends with ``end_id``, so an
 empty one is a piece of one token; documents longer than a sequence are cut into full
@@ -43,7 +43,8 @@ class Params:
     rule: str = "norm"
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
     end_id: int = 1
-    salts: int = 32
+    ranked: int = 20_000
+    parts: int = 100_000
 
     @property
     def capacity(self) -> np.ndarray:
@@ -160,12 +161,16 @@ def pack(docs: DataFrame, tokenizer: str, p: Params = Params(), id_col: str = "d
     parts = staged(pieces(docs, tokenizer, p, id_col, text_col, with_ids), "pieces")
     counts = {r.length: r.n for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most p.tokens rows
     steps = plan(counts, p)
-    parts = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(p.salts)).cast("int"))
+    # A length is ranked in as many parts as its pieces need; there are at most p.parts + p.tokens parts in all.
+    each = max(p.ranked, sum(counts.values()) // p.parts)
+    salts = {n: -(-k // each) for n, k in counts.items() if k > each}
+    most = F.coalesce(F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])[F.col("length")], F.lit(1)) if salts else F.lit(1)
+    parts = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), most).cast("int"))
     sizes = parts.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = parts.withColumn("rank", F.row_number().over(inside) - 1)
-    # At most p.tokens * p.salts rows of three numbers.
+    # At most p.parts + p.tokens rows of three numbers.
     ranked = ranked.join(F.broadcast(sizes), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("before"))
     return placed(ranked.select(*[c for c in parts.columns if c != "salt"], "rank"), steps)
