@@ -83,17 +83,18 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 12, seed: i
     return w.astype(np.float32)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 300, languages: int = 256, key_col: str = "doc_id") -> Model:
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 300, languages: int = 256, sample: int = 16_000, key_col: str = "doc_id") -> Model:
     """Train on a bounded sample: the ``per_language`` labelled texts of each language whose hashed keys are least.
 
-    Of more than ``languages`` values of ``lang_col`` the most frequent are learnt. About 1.6 times ``per_language``
-    feature rows a language reach the driver, whatever the size of ``labelled``.
+    Of more than ``languages`` values of ``lang_col`` the most frequent are learnt, and with many of them fewer texts
+    of each, ``sample`` in all. About 1.6 times as many feature rows reach the driver, whatever the size of ``labelled``.
     """
     model = Model()
     rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     sizes = {r.lang: r.n for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not sizes:
         return model
+    per_language = min(per_language, max(1, sample // len(sizes)))
     share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, (1.6 * per_language + 30) / n))])
     at = F.xxhash64(F.col(key_col).cast("string"))
     drawn = rows.where(at.cast("double") / F.lit(2.0**64) + 0.5 <= share[F.col(lang_col)])

@@ -12,7 +12,7 @@ significant segments; a logistic curve over it, fitted on the training labels, i
 
 Labels come from a bounded sample of ``sample`` labelled rows; corpus counts cover every
 document. Defined results: null and empty texts have no segment and get the lowest score;
-without both labels every score is 0; rows that repeat an id in the labels count as toxic if
+without both labels every score is next to 0; rows that repeat an id in the labels count as toxic if
 one does. Each row of ``docs`` gives a row. Other columns are not read.
 """
 
