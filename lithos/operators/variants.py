@@ -1,67 +1,225 @@
-"""Genetic variants and viral lineages in text: patterns, normal forms and offsets.
+"""Genetic variants and viral lineages in text: phrasings, normal forms and offsets.
 
-Each document is one scan by a scalar function over Arrow batches: patterns run from long to
+A phrasing is written with slots: {AA}, {aa} and {name} for amino acids by three letters, one letter
+and full name, {AA2}, {aa2} and {name2} for what they change to, {aa3} and {aa4} for other alleles, {b}, {b2}, {bases}
+and {bases2} for nucleotides, {n}, {n2} for places in a protein and {at}, {at2} for places in a gene.
+Blanks may be left out of a text or be longer, and signs other than "/" may have blanks around them.
+
+Each document is one scan by a scalar function over Arrow batches: phrasings run from long to
 short, and a match blanks its span for those that follow, which no SQL expression states.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Amino acids by three letters and one.
+# Amino acids by three letters, by name, and what ends a protein.
 AMINO = {
-    "ala": "A", "arg": "R", "asn": "N", "asp": "D", "cys": "C", "gln": "Q", "glu": "E", "gly": "G", "his": "H", "ile": "I",
-    "leu": "L", "lys": "K", "met": "M", "phe": "F", "pro": "P", "ser": "S", "thr": "T", "trp": "W", "tyr": "Y", "val": "V", "ter": "*", "stop": "*",
+    "ala": "A", "arg": "R", "asn": "N", "asp": "D", "cys": "C", "glu": "E", "gln": "Q", "gly": "G", "his": "H", "ile": "I",
+    "leu": "L", "lys": "K", "met": "M", "phe": "F", "pro": "P", "ser": "S", "thr": "T", "trp": "W", "tyr": "Y", "val": "V",
+}
+NAMES = {
+    "alanine": "A", "cysteine": "C", "asparticacid": "D", "glutamicacid": "E", "phenylalanine": "F", "glycine": "G", "histidine": "H",
+    "isoleucine": "I", "lysine": "K", "leucine": "L", "methionine": "M", "asparagine": "N", "proline": "P", "glutamine": "Q",
+    "arginine": "R", "serine": "S", "threonine": "T", "valine": "V", "tryptophan": "W", "tyrosine": "Y",
 }
-ONE = "[ACDEFGHIKLMNPQRSTVWY]"
-THREE = "(?:" + "|".join(AMINO) + ")"
-LINEAGES = {"alpha": "B.1.1.7", "beta": "B.1.351", "gamma": "P.1", "delta": "B.1.617.2", "omicron": "B.1.1.529"}
+ENDS = {"stop": "X", "ter": "X", "x": "X", "*": "*"}
+LETTERS = "ABCDEFGHIKLMNPQRSTVWYZ"
+# Lineages under the name they are shown by.
+LINEAGES = {
+    "B.1.1.7": "B.1.1.7 (UK)",
+    "501Y.V1": "B.1.1.7 (UK)",
+    "20I/501Y.V1": "B.1.1.7 (UK)",
+    "20B/501Y.V1": "B.1.1.7 (UK)",
+    "202012/01": "B.1.1.7 (UK)",
+    "B.1.351": "B.1.351 (South Africa)",
+    "501Y.V2": "B.1.351 (South Africa)",
+    "20H/501Y.V2": "B.1.351 (South Africa)",
+    "P.1": "P.1 (Brazil)",
+}
+NAME = "|".join(NAMES)
+THREE = "|".join(AMINO)
+#: Each slot's pattern and a sample, whose length ranks phrasings.
+SLOTS = {
+    "name": (f"(?P<from>{NAME})", "THREONINE"),
+    "name2": (f"(?P<to>{NAME})", "METHIONINE"),
+    "AA": (f"(?P<from>{THREE})", "THR"),
+    "AA2": (rf"(?P<to>{THREE}|X|\*|ter|stop)", "MET"),
+    "aa": (f"(?P<from>[{LETTERS}])", "T"),
+    "aa2": (rf"(?P<to>[{LETTERS}X*]|stop)", "M"),
+    "aa3": (f"[{LETTERS}X*]", "E"),
+    "aa4": (f"[{LETTERS}X*]", "V"),
+    "n": ("(?P<n>[1-9][0-9]*)", "790"),
+    "n2": ("(?P<n2>[1-9][0-9]*)", "791"),
+    "b": ("(?P<from>[acgt])", "G"),
+    "b2": ("(?P<to>[acgt])", "A"),
+    "bases": ("(?P<from>[acgt]+)", "GGC"),
+    "bases2": ("(?P<to>[acgt]+)", "GAC"),
+    "at": (r"(?P<n>[+-]?[1-9][0-9+-]*)", "93"),
+    "at2": (r"(?P<n2>[+-]?[1-9][0-9-]*)", "94"),
+}
 
 
 def _one(x: str) -> str:
-    return AMINO.get(x.lower(), x.upper())
-
-
-#: (pattern, normal form from its groups), more specific ones first.
-PATTERNS = [
-    (re.compile(rf"\bp\.\(?(?P<a>{THREE}|{ONE})(?P<n>\d+)(?P<b>{THREE}|{ONE})fs\*?\d*\)?", re.I), lambda m: f"p.{_one(m['a'])}{m['n']}fs"),
-    (re.compile(rf"\bp\.\(?(?P<a>{THREE}|{ONE})(?P<n>\d+)(?P<b>{THREE}|{ONE}|\*)\)?(?!\w)", re.I), lambda m: f"p.{_one(m['a'])}{m['n']}{_one(m['b'])}"),
-    (re.compile(r"\b(?P<k>[cgm])\.(?P<n>\d+(?:[+-]\d+)?)\s?(?P<a>[ACGT])\s?>\s?(?P<b>[ACGT])(?!\w)", re.I), lambda m: f"{m['k'].lower()}.{m['n']}{m['a'].upper()}>{m['b'].upper()}"),
-    (re.compile(r"\b(?P<k>[cgm])\.(?P<n>\d+(?:_\d+)?)(?P<d>del|dup)(?P<a>[ACGT]*)(?!\w)", re.I), lambda m: f"{m['k'].lower()}.{m['n']}{m['d'].lower()}{m['a'].upper()}"),
-    (re.compile(rf"\b(?P<a>{THREE})-?(?P<n>\d+)-?(?P<b>{THREE})\b", re.I), lambda m: f"p.{_one(m['a'])}{m['n']}{_one(m['b'])}"),
-    (re.compile(rf"\b(?P<a>{THREE})\s(?:to|for)\s(?P<b>{THREE})\s(?:at\s)?(?:position|codon|residue)\s(?P<n>\d+)\b", re.I), lambda m: f"p.{_one(m['a'])}{m['n']}{_one(m['b'])}"),
-    (re.compile(rf"(?<![\w.])(?P<a>{ONE})(?P<n>[1-9]\d+)(?P<d>del|fs)(?!\w)"), lambda m: f"p.{m['a']}{m['n']}{m['d']}"),
-    (re.compile(rf"(?<![\w.])(?P<a>{ONE})(?P<n>[1-9]\d+)(?P<b>{ONE})(?!\w)"), lambda m: f"p.{m['a']}{m['n']}{m['b']}"),
-]
+    low = x.lower()
+    return AMINO.get(low) or NAMES.get(low) or ENDS.get(low) or x.upper()
+
+
+#: Normal forms by kind, from a match's parts.
+FORMS = {
+    "gene": lambda d: f"c.{d['n']}{d['from'].upper()}>{d['to'].upper()}",
+    "genome": lambda d: f"g.{d['n']}{d['from'].upper()}>{d['to'].upper()}",
+    "mitochondrion": lambda d: f"m.{d['n']}{d['from'].upper()}>{d['to'].upper()}",
+    "base deletion": lambda d: f"c.{d['n']}del{d['from'].upper()}",
+    "deletion": lambda d: f"c.{d['n']}_{d['n2']}del",
+    "duplication": lambda d: f"c.{d['n']}_{d['n2']}dup",
+    "base duplication": lambda d: f"c.{d['n']}dup",
+    "protein": lambda d: f"p.{_one(d['from'])}{d['n']}{_one(d['to'])}",
+    "frameshift": lambda d: f"p.{_one(d['from'])}{d['n']}fsX",
+    "frameshift to": lambda d: f"p.{_one(d['from'])}{d['n']}fsX{d['n2']}",
+    "residue deletion": lambda d: f"p.{d['n']}del{_one(d['from'])}",
+    "ignored": None,
+}
+#: Kinds of phrasings whose matches may overlap others: they blank nothing.
+OVERLAP = ("{aa}{n}{aa2}", "{aa}{n}{aa3}/{aa2}", "{aa}{n}{aa3}/{aa4}/{aa2}")
+
+
+def _spelled_out() -> list[str]:
+    """Changes in words: what changes into what, how it is called, and where."""
+    out = []
+    for joint in ("-to-", " to "):
+        for change, place in product((" mutation", " substitution", " alteration", " change"), ("at residue", "at amino acid", "at amino acid position", "at position", "in position")):
+            out.append(f"{{name}}{joint}{{name2}}{change} {place} {{n}}")
+        out += [f"{{name}}{joint}{{name2}} {place} {{n}}" for place in ("at residue", "at amino acid")]
+    return out
+
+
+#: Phrasings by kind.
+PHRASINGS = {
+    "ignored": [
+        "{AA}{n}{AA2}{n2}", "{AA}{n}/{AA2}/{n2}", "{AA}{n} to {AA2} {n2}", "{AA}-{n} to {AA2}-{n2}", "{AA}{n}-to-{AA2}{n2}", "{AA}{n}->{AA2}{n2}", "{AA}{n}-->{AA2}{n2}",
+        "{AA}{n}-{AA2}-{n2}", "{AA}{n}----{AA2}{n2}", "{n}{AA}----{AA2}{n2}", "{AA}-{n}-{AA2}-{n2}", "{AA}-{n}{AA2}-{n2}", "{AA}-{n} -> {AA2}-{n2}", "{AA}-{n} --> {AA2}-{n2}",
+        "{AA}({n}){AA2}({n2})",
+    ],
+    "gene": [
+        "{b}{at}{b2}", "c.{b}{at}{b2}", "c.{at}{b}>{b2}", "c.{at}{b}/{b2}", "{at}{b}>{b2}", "{b}/{b2}-{at}", "{at}{b}->{b2}", "{at}{b}-->{b2}", "{b}{at}->{b2}", "{b}{at}-->{b2}",
+        "{at}{b}-{b2}", "{b} modified {b2} {at}", "{at}{b}/{b2}", "{at},{b}/{b2}", "({at}) {b}/{b2}", "{at} ({b}/{b2})", "g+{at}{b}>{b2}", "{bases}{at}{bases2}",
+        *[f"{{b}} to {{b2}}{how} at {where} {{at}}" for how in (" substitution", "") for where in ("nucleotide", "position")],
+    ],
+    "base deletion": ["c.{at}del{b}", "c.{at}{b}del", "{at}del{b}", "{at}{b}del"],
+    "deletion": ["c.{at}-{at2}del", "c.{at}_{at2}del", "{at}-{at2}del", "{at}_{at2}del"],
+    "base duplication": ["c.{at}dup"],
+    "duplication": ["c.{at}-{at2}dup", "c.{at}_{at2}dup", "{at}-{at2}dup", "{at}_{at2}dup"],
+    "genome": ["g.{at}{b}>{b2}"],
+    "mitochondrion": ["m.{at}{b}>{b2}"],
+    "protein": [
+        *OVERLAP, "{AA}{n}{AA2}", "{AA}{n}/{AA2}", "{AA}{n} to {AA2}", "{AA}-{n} to {AA2}", "{AA}{n}-to-{AA2}", "{AA}{n}->{AA2}", "{AA}{n}-->{AA2}", "{AA}{n}-{AA2}", "{AA}{n}----{AA2}",
+        "{n}{AA}----{AA2}", "{AA}-{n}-{AA2}", "{AA}-{n}{AA2}", "{AA}-{n} -> {AA2}", "{AA}-{n} --> {AA2}", "{AA}({n}){AA2}", "p.{AA}{n}{AA2}", "{AA}-to-{AA2} substitution at position {n}",
+        "{AA} {n} is replaced by {AA2}", "{AA} {n} mutated to {AA2}", "{AA} {n} was mutated to {AA2}", *_spelled_out(), "{name} by {name2} at position {n}", "{name}-{n}-{name2}",
+        "{name}-{n} -> {name2}", "{name}-{n} --> {name2}", "{name} {n} {name2}", "{name} {n} changed to {name2}", "{name}-{n} {name2}", "{name} {n}-{name2}", "{name} {n} to {name2}",
+        "{name} {n} by {name2}", "{n} {name} to {name2}", "{name2} for {name} at amino acid {n}", "{name2} for {name} at position {n}", "{name2} for {name} {n}",
+        "{name2}-for-{name} at position {n}", "{name2} for {name} substitution at position {n}", "{name2}-for-{name} substitution at position {n}", "{name2} for a {name} at position {n}",
+        "{name2} for an {name} at position {n}", "p.{aa}{n}{aa2}", "p.({aa}{n}{aa2})", "{n}{aa}>{aa2}", "{n}{aa}->{aa2}", "{n}{aa}-->{aa2}", "{aa}{n}->{aa2}", "{aa}{n}-->{aa2}",
+    ],
+    "frameshift": ["{aa}{n}fs"],
+    "frameshift to": ["p.{aa}{n}fsX{n2}", "p.{AA}{n}fsx{n2}", "{AA}{n}fsx{n2}"],
+    "residue deletion": ["{AA}{n}del", "p.{aa}{n}del", "p.{n}del{aa}", "{aa}{n}del", "{n}del{aa}"],
+}
+PARTS = re.compile(r"\{(\w+)\}|([A-Za-z0-9]+)|( )|(.)")
+
+
+def pattern(phrasing: str) -> str:
+    """The regular expression of a phrasing."""
+    out, before = "", ""
+    for slot, word, blank, sign in PARTS.findall(phrasing):
+        now = "word" if slot or word else "blank" if blank else "slash" if sign == "/" else "sign"
+        if {before, now} == {"word", "sign"}:
+            out += r"\s*"
+        out += SLOTS[slot][0] if slot else r"\s*" if blank else re.escape(word or sign)
+        before = now
+    return out
+
+
+@lru_cache(maxsize=1)
+def compiled() -> list[tuple[re.Pattern, str, str]]:
+    """(pattern, phrasing, kind), the phrasings with the longest samples first."""
+    every = [(PARTS.sub(lambda m: SLOTS[m[1]][1] if m[1] else m[0], p), p, kind) for kind, ps in PHRASINGS.items() for p in ps]
+    return [(re.compile(rf"\b{pattern(p)}\b", re.I), p, kind) for _, p, kind in sorted(every, key=lambda x: -len(x[0]))]
+
+
 SNP = re.compile(r"rs\d{2,}")
 LINEAGE = [
-    (re.compile(r"\b(?P<x>[ABP]\.\d+(?:\.\d+)*)\b"), lambda m: m["x"]),
-    (re.compile(r"\b(?P<x>alpha|beta|gamma|delta|omicron)\s(?:variant|lineage|strain)\b", re.I), lambda m: LINEAGES[m["x"].lower()]),
-    (re.compile(r"\b(?:variant|lineage)\s(?P<x>[A-Z]{1,2}\.\d+(?:\.\d+)*)\b"), lambda m: m["x"]),
+    re.compile(r"\b[ABCP]\.\d\d?(\.\d+)*\.?\b"),
+    re.compile(r"\b(\w+/)?\d+Y\.V\d+\b"),
+    re.compile(r"\b((variant of concern|VOC|\(voc\))[-\s]*)+(?P<name>\d+/\d+)\b", re.I),
 ]
 FOUND = "array<struct<start:int,end:int,type:string,text:string,normalized:string>>"
 
 
+def _near_digits(text: str, reach: int = 120) -> list[tuple[int, int]]:
+    """Stretches of ``text``, cut at blanks, around its digits: every phrasing has one and is shorter than ``reach``, blanks aside."""
+    if re.search(r"\s{10}", text):
+        return [(0, len(text))]
+    out: list[tuple[int, int]] = []
+    for m in re.finditer(r"\d+", text):
+        lo, hi = m.start() - reach, m.end() + reach
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    gap = re.compile(r"\s")
+    cut = []
+    for lo, hi in out:
+        lo = max(0, lo)
+        while lo and not text[lo - 1].isspace():
+            lo -= 1
+        past = gap.search(text, min(hi, len(text)))
+        hi = past.start() if past else len(text)
+        if cut and lo <= cut[-1][1]:
+            lo = cut.pop()[0]
+        cut.append((lo, hi))
+    return cut
+
+
 def find(text: str | None, stop: frozenset[str] = frozenset()) -> list[tuple[int, int, str, str, str]]:
-    """(start, end, type, text, normal form) by start. A stopword's span is neither found nor blanked."""
+    """(start, end, type, text, normal form) by start.
+
+    A stopword's span is neither found nor blanked; an ignored phrasing's is blanked only. Of several phrasings of one span
+    the shorter counts. Of a list of alleles such as T790E/M the last one's span is its slash and letter.
+    """
     text = text or ""
     left, out = text, {}
-    for pattern, normal in PATTERNS:
-        for m in list(pattern.finditer(left)):
+    places = _near_digits(text)
+    for regex, phrasing, kind in compiled() if places else ():
+        blank = []
+        for m in (m for lo, hi in places for m in regex.finditer(left, lo, hi)):
             if m[0].lower() in stop:
                 continue
-            out[m.start(), m.end()] = ("variant", normal(m))
-            left = left[: m.start()] + " " * (m.end() - m.start()) + left[m.end() :]
-    for m in SNP.finditer(text):
-        out[m.start(), m.end()] = ("variant", m[0])
-    for pattern, normal in LINEAGE:
-        for m in pattern.finditer(text):
-            out[m.start(), m.end()] = ("lineage", normal(m))
-    return [(s, e, kind, text[s:e], form) for (s, e), (kind, form) in sorted(out.items())]
+            start, end = m.span()
+            if "{aa3}" in phrasing:
+                start = end - 2
+            if FORMS[kind]:
+                parts = m.groupdict()
+                if "at" in phrasing and kind != "protein":
+                    parts["n"] = parts["n"].rstrip("-+")
+                out[start, end] = ("variant", text[start:end], FORMS[kind](parts))
+            blank.append((start, end))
+        if phrasing not in OVERLAP:
+            for start, end in blank:
+                left = left[:start] + " " * (end - start) + left[end:]
+    found = [(s, e, *v) for (s, e), v in out.items()]
+    found += [(*m.span(), "variant", m[0], m[0]) for m in SNP.finditer(text)]
+    for regex in LINEAGE:
+        for m in regex.finditer(text):
+            name = m.groupdict().get("name") or m[0]
+            found.append((*m.span(), "lineage", m[0], LINEAGES.get(name, name)))
+    return sorted(found)
 
 
 def variants(docs: DataFrame, text: str, out: str = "variants", stop: list[str] = ()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lithos.functions import dates
 from lithos.functions import text as tx
-from lithos.operators import dedupe, mentions, release, web
+from lithos.operators import dedupe, mentions, release, variants, web
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -223,3 +223,20 @@ def annotation_fields(spark, d):
         "ord", tx.canonical_journal(c("journal"), c("source")).alias("journal"), tx.annotation_abstract(c("abstract")).alias("abstract"), tx.annotation_journal(c("journal"), c("iso"), c("source")).alias("tool"),
         date["year"].alias("y"), date["month"].alias("m"), F.array_join(tx.regrouped(c("labels"), groups, ["Review", "None"]), ",").alias("labels"),
     )
+
+
+@expected(
+    'CAST(row_id AS BIGINT) AS row_id, type, normalized, CAST(first AS INTEGER) AS first, CAST(past AS INTEGER) AS past',
+    "(0, 'variant', 'p.T790E', 0, 5)", "(0, 'variant', 'p.T790M', 5, 7)", "(1, 'variant', 'c.93G>A', 0, 34)", "(2, 'variant', 'rs123', 18, 23)", "(3, 'variant', 'p.T790M', 0, 47)",
+    "(4, 'lineage', 'B.1.1.7 (UK)', 0, 11)", "(4, 'lineage', 'B.1.1.7 (UK)', 16, 29)", "(5, 'variant', 'c.93_94del', 0, 10)", "(5, 'variant', 'p.T790fsX791', 15, 27)", "(6, 'lineage', 'P.1 (Brazil)', 2, 5)",
+    "(9, 'variant', 'p.D614G', 8, 13)",
+)
+def variants_fixture(spark, d):
+    """Variants and lineages of fixed strings; the test tables hold none."""
+    texts = [
+        "T790E/M", "G to A substitution at position 93", "THR790MET791 then rs123", "Threonine-to-Methionine mutation at residue 790", "20I/501Y.V1 and VOC 202012/01",
+        "c.93_94del and p.T790fsX791", "a P.1 case", None, "no change here", "T47D or D614G",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
+    found = variants.variants(rows, "text", stop=["t47d"]).select("row_id", F.inline("variants"))
+    return found.select("row_id", "type", "normalized", F.col("start").alias("first"), F.col("end").alias("past"))

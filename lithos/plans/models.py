@@ -19,15 +19,6 @@ def tfidf_lr(spark, d):
     return ml.predict_labels(rows, features, models).select("doc_id", F.col("quality_score").alias("score"))
 
 
-FIXTURE = ["The p.Val600Glu and V600E mutations", "c.76A>T with rs113488022 and E484K", "delta variant (B.1.617.2), N501Y, p.Phe508del", "no change here", "Gly to Ser at codon 12; c.35delG"]
-
-
-def variants_fixture(spark, d):
-    """Variants and lineages of fixed strings; the test tables hold none."""
-    rows = spark.createDataFrame(list(enumerate(FIXTURE)), "row_id long, text string")
-    return variants.variants(rows, "text").select("row_id", F.inline("variants")).select("row_id", "type", "normalized", "start", "end")
-
-
 def variants_in_documents(spark, d):
     """Variants and lineages of every document."""
     rows = variants.variants(table(spark, d, "documents").select("doc_id", "text"), "text")
@@ -60,7 +51,7 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END, 'Source', source FROM do
 n AS (SELECT type, name, min(o * 2 + p) AS f FROM e GROUP BY 1, 2), q AS (SELECT row_number() OVER (ORDER BY f, type, name) AS entity_id, * FROM n)"""
 
 QUERIES = {
-    f.__name__: f for f in (tfidf_lr, variants_fixture, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
+    f.__name__: f for f in (tfidf_lr, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
 }
 ORACLE = {
     "incremental_equals_batch": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",

@@ -96,8 +96,11 @@ def test_rule_categories(spark):
 def test_variants():
     forms = lambda t, **k: [(x[2], x[4]) for x in variants.find(t, **k)]
     assert forms("p.Val600Glu, V600E and c.76A>T rs12345") == [("variant", "p.V600E"), ("variant", "p.V600E"), ("variant", "c.76A>T"), ("variant", "rs12345")]
-    assert forms("the delta variant, B.1.1.7") == [("lineage", "B.1.617.2"), ("lineage", "B.1.1.7")]
-    assert forms("T47D cells", stop=frozenset(["t47d"])) == [] and forms(None) == [] and forms("Gly to Ser at codon 12") == [("variant", "p.G12S")]
+    assert forms("the 501Y.V2 variant, B.1.1.7") == [("lineage", "B.1.351 (South Africa)"), ("lineage", "B.1.1.7 (UK)")]
+    assert forms("T47D cells", stop=frozenset(["t47d"])) == [] and forms(None) == [] and forms("serine for glycine at position 12") == [("variant", "p.G12S")]
+    assert len(variants.compiled()) == 154
+    assert forms("THR790-to-MET791, 790THR----MET") == [("variant", "p.T790M")]  # an ignored phrasing blanks what others would find
+    assert [x[:2] for x in variants.find("T790E/V/M")] == [(0, 5), (5, 7), (7, 9)]
 
 
 def test_sources(spark, tmp_path):
