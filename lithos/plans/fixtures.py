@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lithos.functions import dates
 from lithos.functions import text as tx
 from lithos.operators import dedupe, mentions, release, variants, web
+from lithos.sources import pubmed
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -240,3 +241,46 @@ def variants_fixture(spark, d):
     rows = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
     found = variants.variants(rows, "text", stop=["t47d"]).select("row_id", F.inline("variants"))
     return found.select("row_id", "type", "normalized", F.col("start").alias("first"), F.col("end").alias("past"))
+
+
+ARTICLE = (
+    "<PubmedArticle><MedlineCitation><PMID>{pmid}</PMID><Article><Journal><Title>A Journal</Title><ISOAbbreviation>A J</ISOAbbreviation><JournalIssue><PubDate>{date}</PubDate></JournalIssue></Journal>"
+    "<ArticleTitle>{title}</ArticleTitle><Abstract>{abstract}</Abstract><Language>eng</Language>{authors}<VernacularTitle>Titre</VernacularTitle>"
+    "<PublicationTypeList><PublicationType UI='D1'>English Abstract</PublicationType><PublicationType UI='D2'>Review</PublicationType></PublicationTypeList></Article>{lists}</MedlineCitation>"
+    "<PubmedData><History>{history}</History><ArticleIdList><ArticleId IdType='doi'>{doi}</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"
+)
+
+
+def _article(pmid, date="<Year>2020</Year><Month>May</Month>", title="T", abstract="", authors="", lists="", history="", doi=""):
+    return ARTICLE.format(**locals())
+
+
+def _entry(status, y, m, d):
+    return f"<PubMedPubDate PubStatus='{status}'><Year>{y}</Year><Month>{m}</Month><Day>{d}</Day></PubMedPubDate>"
+
+
+@expected(
+    "pubmed_id, title, abstract, CAST(y AS INTEGER) AS y, CAST(m AS INTEGER) AS m, CAST(d AS INTEGER) AS d, authors, mesh, types, doi",
+    "('1', 'SARS CoV 2 in &', 'First part. x 2 end' || chr(10) || 'Second', 2020, 5, NULL, 'Ann Lee;A Group', 'D1:Y/Q1:N', 'Review', '10.1/ab')",
+    "('2', 'An old title.', 'text   after', 2019, 11, NULL, '', '', 'Review', NULL)",
+    "('3', 'Titre', '', 2018, 2, 3, 'Lee', '', 'Review', NULL)",
+    "('5', 'T', 'a, b. c', 2017, 1, 2, '', '', 'Review', NULL)",
+)
+def pubmed_articles(spark, d):
+    """Articles with mark-up, sections, old titles and dates of both kinds; an article without a number as its id goes."""
+    author = "<AuthorList><Author><LastName>Lee</LastName>{}</Author>{}</AuthorList>"
+    mesh = "<MeshHeadingList><MeshHeading><DescriptorName UI='D1' MajorTopicYN='Y'>x</DescriptorName><QualifierName UI='Q1' MajorTopicYN='N'>y</QualifierName></MeshHeading></MeshHeadingList>"
+    rows = [
+        _article(1, title="SARS<sub>CoV</sub>2 in &amp;amp;", abstract="<AbstractText>First\npart. x<sup>2</sup> end</AbstractText><AbstractText Label='B'>Second</AbstractText>", lists=mesh, doi="10.1/ab",
+                 authors=author.format("<ForeName>Ann</ForeName>", "<Author><CollectiveName>A Group</CollectiveName></Author>"), history=_entry("pubmed", 2020, 6, 1)),
+        _article(2, "<MedlineDate>2019 Nov-Dec</MedlineDate>", "[An old title].", "<AbstractText>text <xref>7</xref>(<xref>8</xref>) after</AbstractText>", doi="none/"),
+        _article(3, "<Year>2018</Year><Month>06</Month>", "", "<AbstractText/>", author.format("", ""), history=_entry("medline", 2018, 1, 1) + _entry("entrez", 2018, 2, 3)),
+        _article("x4"), None, "<PubmedArticleSet></PubmedArticleSet>",
+        _article(5, "<Year>1500</Year>", abstract="<AbstractText>a, , b ,. c</AbstractText>", history=_entry("received", 2017, 1, 2)),
+    ]
+    out = pubmed.articles(spark.createDataFrame([(r,) for r in rows], "value string"))
+    heads = F.array_join(F.flatten(F.transform("mesh", lambda h: F.transform(h, lambda e: F.concat_ws(":", e["id"], e["major"])))), "/")
+    return out.select(
+        "pubmed_id", "title", "abstract", F.col("publish_year").alias("y"), F.col("publish_month").alias("m"), F.col("publish_day").alias("d"),
+        F.array_join("authors", ";").alias("authors"), heads.alias("mesh"), F.array_join("medline_pubtype", ",").alias("types"), "doi",
+    )
