@@ -264,7 +264,7 @@ def _entry(status, y, m, d):
     "('1', 'SARS CoV 2 in &', 'First part. x 2 end' || chr(10) || 'Second', 2020, 5, NULL, 'Ann Lee;A Group', 'D1:Y/Q1:N', 'Review', '10.1/ab')",
     "('2', 'An old title.', 'text   after', 2019, 11, NULL, '', '', 'Review', NULL)",
     "('3', 'Titre', '', 2018, 2, 3, 'Lee', '', 'Review', NULL)",
-    "('5', 'T', 'a, b. c', 2017, 1, 2, '', '', 'Review', NULL)",
+    "('5', 'T', 'a, b . c', 2017, 1, 2, '', '', 'Review', NULL)",
 )
 def pubmed_articles(spark, d):
     """Articles with mark-up, sections, old titles and dates of both kinds; an article without a number as its id goes."""
