@@ -41,12 +41,6 @@ def survivors(rows: DataFrame, group_col: str, fields: list[str], order: list[Co
     return rows.groupBy(group_col).agg(F.count("*").alias("n"), *last, *more)
 
 
-def best_date(year: str, month: str, day: str, rank: Column) -> Column:
-    """An aggregate: the date with most parts, later ones in ``rank`` among equals."""
-    filled = sum((F.col(c).isNotNull().cast("int") for c in (year, month, day)), F.lit(0))
-    return F.max_by(F.struct(F.col(year).alias("year"), F.col(month).alias("month"), F.col(day).alias("day")), F.struct(filled, rank))
-
-
 def violations(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``(kind, key, n)``: values of each key that more than one row holds."""
     each = rows.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys])))
@@ -96,7 +90,7 @@ def merged_documents(rows: DataFrame, ord_col: str = "ord") -> DataFrame:
     dated = sum((F.coalesce(F.col(c), F.lit(0)) for c in date), F.lit(0)) > 0
     without = F.struct(*[F.when(~cord, F.col(c)).alias(c) for c in date])
     best = lambda d, name: F.max_by(d, F.struct(filled(d), rank)).alias(name)
-    parts = F.transform(F.split(F.coalesce("url", F.lit("")), ";"), F.trim)
+    parts = F.transform(F.split(F.coalesce("url", F.lit("")), ";"), lambda u: F.trim(u))
     pubmed = F.transform(F.filter(parts, lambda u: u.contains("www.ncbi.nlm.nih.gov/pubmed/")), lambda u: F.regexp_replace(u, "/+$", ""))
     sets = {c: F.array_distinct(F.flatten(F.collect_set(pubmed))) if c == "url" else F.collect_set(_some(c)) for c in IDS}
     fields = [c for c in rows.columns if c not in ("group_id", *date)]

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lithos.functions import dates
 from lithos.functions import text as tx
-from lithos.operators import dedupe, mentions, release, variants, web
-from lithos.sources import pubmed
+from lithos.operators import dedupe, mentions, release, star, variants, web
+from lithos.sources import files, pubmed, readers
+from lithos.streaming import incremental
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -33,7 +34,7 @@ def records(spark):
     rows = [
         # 1, 2 and 3 are one through 2: a DOI, then a PubMed id; the PubMed record has a date, so CORD's goes.
         (1, "c1", "", "10.1/a", "", "", "Short", "x", "", "medRxiv", 2019, 1, 1, True),
-        (2, "c2", "7", "10.1/a", "", "https://www.ncbi.nlm.nih.gov/pubmed/7/; http://z", "A longer title", "abc", "", "Nature", 2021, 5, 9, None),
+        (2, "c2", "7", "10.1/a", "", "http://z; https://www.ncbi.nlm.nih.gov/pubmed/7/", "A longer title", "abc", "", "Nature", 2021, 5, 9, None),
         (3, "", "7", "", "PMC3", "http://www.ncbi.nlm.nih.gov/pubmed/7", "Long", "abcdef", "", "Nature", 2020, 6, None, False),
         # 4 and 5 share year, title and journal in other case and punctuation; 6 has another year.
         (4, "c4", "", "", "", "http://four;http://4", LONG, "", "", "The Lancet.", 2020, None, None, None),
@@ -284,3 +285,63 @@ def pubmed_articles(spark, d):
         "pubmed_id", "title", "abstract", F.col("publish_year").alias("y"), F.col("publish_month").alias("m"), F.col("publish_day").alias("d"),
         F.array_join("authors", ";").alias("authors"), heads.alias("mesh"), F.array_join("medline_pubtype", ",").alias("types"), "doi",
     )
+
+
+@expected("CAST(ord AS BIGINT) AS ord, page", "(1, 'one')", "(2, 'two')", "(3, NULL)", "(4, NULL)")
+def pages_by_url(spark, d):
+    """What was scraped under the first of a document's sorted URLs: tidied, with its DOI's, without NCBI's and PDFs."""
+    rows = [(1, "http://z ; http://b", ""), (2, "http://c.pdf; ", "10.1/x"), (3, "https://www.ncbi.nlm.nih.gov/pubmed/7", None), (4, None, None)]
+    docs = spark.createDataFrame(rows, "ord long, url string, doi string").select("ord", web.candidate_urls(tx.tidy_urls(F.col("url"), F.col("doi"))).alias("urls"))
+    pages = spark.createDataFrame([("http://b", "one"), ("http://z", "last"), ("https://doi.org/10.1/x", "two"), ("http://c.pdf", "no")], "u string, text string")
+    return web.first_by_url(docs, pages, "urls", "u").select("ord", F.col("page.text").alias("page"))
+
+
+@expected("CAST(id AS BIGINT) AS id, value, CAST(version AS BIGINT) AS version", "(1, 'a2', 5)", "(2, 'b', 1)", "(3, 'c', 9)", "(4, 'same, from the batch', 2)")
+def upserted(spark, d):
+    """Rows kept by key, the last by order; a new row beats an equal one."""
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (4, "same", 2)], "id long, value string, version long")
+    new = spark.createDataFrame([(1, "a1", 4), (1, "a2", 5), (3, "c", 9), (2, "older", 0), (4, "same, from the batch", 2)], "id long, value string, version long")
+    return incremental.upsert(old, new, "id", F.col("version"))
+
+
+@expected("kind, key, CAST(n AS BIGINT) AS n", "('id', 'q1', 2)", "('name', 'same', 2)")
+def name_conflicts(spark, d):
+    """Ids with several names and names of one type with several ids, over all files."""
+    rows = [("q1", "Drug", "a"), ("q1", "Drug", "b"), ("q2", "Drug", "same"), ("q3", "Drug", "same"), ("q4", "Virus", "same"), ("q2", "Drug", "same")]
+    return release.name_conflicts(spark.createDataFrame(rows, "id string, type string, normalized string"))
+
+
+@expected("path, fixed, CAST(number AS VARCHAR) AS number, target", "('b', 'a & b', '12', 'http://x/y?z=1')")
+def damaged_files(spark, d):
+    """Files whose MD5 is another than the published one; entities, ids and redirects in columns."""
+    contents = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "path string, content string")
+    sums = contents.select("path", F.when(F.col("path") == "b", "0").otherwise(F.md5("content")).alias("md5"))
+    url = F.lit("http://go?redirectUrl=http%3A%2F%2Fx%2Fy%3Fz%3D1&k=2")
+    out = files.damaged(contents, sums).withColumn("raw", F.lit("a &amp; b"))
+    return out.select("path", readers.unescape("raw").alias("fixed"), F.coalesce(tx.numeric_id(F.lit("12")), tx.numeric_id(F.lit("x12"))).alias("number"), files.redirect_target(url).alias("target"))
+
+
+@expected("CAST(ord AS BIGINT) AS ord", "(2)", "(5)")
+def searched(spark, d):
+    """Documents not loaded yet, by words of journal and title in any case; the queue of the loaded ones is done."""
+    rows = [(1, "Nature", "a virus"), (2, "NATURE Medicine", "The Virus"), (3, "Science", "virus"), (4, "Nature", "cells"), (5, "nature", "viruses")]
+    docs = spark.createDataFrame(rows, "ord long, journal string, title string").withColumn("abstract", F.lit(""))
+    loaded = docs.where("ord = 1").select("ord")
+    if not release.queue_is_empty(loaded, loaded, "ord"):
+        raise ValueError("the loaded document is annotated")
+    return release.search(docs, loaded, "ord", journal="nature", title="VIRUS").select("ord")
+
+
+@expected("json", """('[{"type":"Drug","name":"b","section":"title","start":4,"end":5},{"type":"Virus","name":"a","section":"abstract","start":0,"end":1}]')""")
+def mentions_json(spark, d):
+    """Mentions as sorted JSON with their places."""
+    e = "array<struct<type:string,normalized:string,id:string,start:int,end:int,section:string>>"
+    df = spark.createDataFrame([([("Virus", "a", "x", 0, 1, "abstract"), ("Drug", "b", "y", 4, 5, "title")],)], f"entities {e}")
+    return df.select(star.mentions_json().alias("json"))
+
+
+@expected("id", "('1')", "('2')", "('9')")
+def process_record(spark, d):
+    """All ids seen by former and present runs."""
+    one = lambda *xs: spark.createDataFrame([(x,) for x in xs], "id string")
+    return release.process_record(one("2", "1"), one("9", None), one("1"))
