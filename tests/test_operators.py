@@ -138,6 +138,11 @@ def test_classifiers_and_what_if(spark):
     cand = spark.createDataFrame([(7, [3.0]), (8, [0.5])], "id long, x array<double>")
     got = {r.id: r for r in ml.what_if(train, pool, cand).collect()}
     assert set(got) == {7, 8} and got[7].if_1 > got[7].if_0
+    assert got[7]["mean"] == (got[7].if_0 + got[7].if_1) / 2 and got[7].least == min(got[7].if_0, got[7].if_1)
+    picked = ml.greedy(train, pool, cand, 3)
+    assert [i for i, _ in picked] in ([7, 8], [8, 7]) and picked[0][1] == max(r.least for r in got.values())
+    with pytest.raises(ValueError):
+        ml.what_if(train, pool, cand, most=1)
 
 
 def test_star_schema(spark):
