@@ -45,7 +45,7 @@ LINEAGES = {
 }
 NAME = "|".join(NAMES)
 THREE = "|".join(AMINO)
-#: Each slot's pattern and a sample, whose length ranks phrasings.
+# Each slot's pattern and a sample, whose length ranks phrasings.
 SLOTS = {
     "name": (f"(?P<from>{NAME})", "THREONINE"),
     "name2": (f"(?P<to>{NAME})", "METHIONINE"),
@@ -86,7 +86,7 @@ FORMS = {
     "residue deletion": lambda d: f"p.{d['n']}del{_one(d['from'])}",
     "ignored": None,
 }
-#: Kinds of phrasings whose matches may overlap others: they blank nothing.
+# Phrasings whose matches may overlap others; they blank nothing.
 OVERLAP = ("{aa}{n}{aa2}", "{aa}{n}{aa3}/{aa2}", "{aa}{n}{aa3}/{aa4}/{aa2}")
 
 
@@ -100,7 +100,7 @@ def _spelled_out() -> list[str]:
     return out
 
 
-#: Phrasings by kind.
+# Phrasings by kind.
 PHRASINGS = {
     "ignored": [
         "{AA}{n}{AA2}{n2}", "{AA}{n}/{AA2}/{n2}", "{AA}{n} to {AA2} {n2}", "{AA}-{n} to {AA2}-{n2}", "{AA}{n}-to-{AA2}{n2}", "{AA}{n}->{AA2}{n2}", "{AA}{n}-->{AA2}{n2}",
@@ -153,6 +153,7 @@ def compiled() -> list[tuple[re.Pattern, str, str]]:
     return [(re.compile(rf"\b{pattern(p)}\b", re.I), p, kind) for _, p, kind in sorted(every, key=lambda x: -len(x[0]))]
 
 
+# Fixed patterns of dbSNP ids and lineages.
 SNP = re.compile(r"rs\d{2,}")
 LINEAGE = [
     re.compile(r"\b[ABCP]\.\d\d?(\.\d+)*\.?\b"),
