@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import bit_sliced, decontaminate, language_id, licenses, near_dup, packing, secrets, substring_dedup, toxicity, warc
+from lithos.llm import bit_sliced, centroids, chat_format, decontaminate, language_id, licenses, near_dup, packing, secrets, spelling, substring_dedup, toxicity, warc
 from lithos.session import staged, table
 
 
@@ -95,6 +95,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts are control strings, as read back from the formatted text."""
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    roles = F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")).alias("role")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), roles, said)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat_format.digests(chat_format.formatted(rows)).drop("attached_tokens")
+
+
+def op12_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds from eight hashed starts."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form and root of every word of seven letters or more that occurs twice."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -106,6 +125,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_decontaminate": op9_decontaminate,
     "op10_secrets": op10_secrets,
+    "op11_chat_format": op11_chat_format,
+    "op12_drake_clusters": op12_drake_clusters,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {}
@@ -159,3 +181,44 @@ r(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.u, l.v FROM r JOIN l ON
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY u) c ON d.doc_id = c.u
 """
+_MARKS = ["<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "<|role|>", "<|says|>", "<|end|>", "<|image|>", "<|audio|>", "<|document|>", "<|file|>"]
+
+
+def _escaped_length(x: str) -> str:
+    """Length of a text plus one for each backslash and each control string, of which none overlap."""
+    return f"(length({x}) + " + " + ".join(f"(length({x}) - length(replace({x}, '{m}', ''))) // {len(m)}" for m in ["\\", *_MARKS]) + ")"
+
+
+ORACLE["op11_chat_format"] = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text))),
+s AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learnt,
+  sum({_escaped_length("text")} + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 23 + {_escaped_length("role")} END) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM s
+"""
+
+
+def _kmeans_sql(dims: int = 64, clusters: int = 8, rounds: int = 10) -> str:
+    """The rounds one after another; distances are whole numbers, exact as doubles."""
+    nearest = """SELECT r, arg_min(c, d * 8 + c) AS c, min(d) AS d FROM (
+  SELECT v.r, c.c, CAST(list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, c.q::DOUBLE[]) + list_dot_product(c.q::DOUBLE[], c.q::DOUBLE[]) AS BIGINT) AS d FROM v, {c} c) GROUP BY r"""
+    sql = rf"""WITH k AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, q, q::DOUBLE[] AS x FROM k),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q FROM (SELECT sha256('3:' || vec_id) AS h, q FROM v WHERE vec_id IS NOT NULL ORDER BY h, q LIMIT {clusters}))"""
+    for t in range(rounds):
+        sql += rf""",
+a{t} AS MATERIALIZED ({nearest.format(c=f"c{t}")}),
+s{t} AS (SELECT a.c, i, sum(v.q[i]) AS s, count(*) AS n FROM a{t} a JOIN v USING (r), range(1, {dims + 1}) t(i) GROUP BY a.c, i),
+m{t} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS q FROM s{t} GROUP BY c),
+c{t + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.q, c.q) AS q FROM c{t} c LEFT JOIN m{t} m USING (c))"""
+    return sql + rf""",
+f AS MATERIALIZED ({nearest.format(c=f"c{rounds}")})
+SELECT vec_id, CAST(f.c AS INTEGER) AS cluster, f.d AS distance, CAST(sum(f.d) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia, CAST(sum(f.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.q, ',')) AS centroid_sha256 FROM f JOIN v USING (r) JOIN c{rounds} c ON f.c = c.c
+"""
+
+
+ORACLE["op12_drake_clusters"] = _kmeans_sql()
