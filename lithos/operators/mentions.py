@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache
+from zlib import crc32
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lithos.operators.skew import join_counted
+from lithos.operators.trie import Trie, longest_only
 from lithos.session import staged
 
 
@@ -22,57 +29,151 @@ def term_lookup(terms: DataFrame, removed_ids: DataFrame | None = None, removed_
     return bare.where(~F.col("alias").isin(*(stop or [""]))).select("alias", "type", "id").distinct()
 
 
-#: Most aliases that are sent to the tasks; a larger dictionary is joined.
-MOST_ALIASES = 500_000
+#: Most aliases, and most characters of them, that are sent to every task; a larger dictionary is dealt out in shards.
+MOST_ALIASES, MOST_CHARS = 500_000, 16_000_000
+
+_HIT = ["pos", "n", "alias"]
+
+
+def _schema(docs: DataFrame, id_col: str) -> T.StructType:
+    kind = next(f for f in docs.schema if f.name == id_col).dataType
+    return T.StructType([T.StructField("id", kind), T.StructField("pos", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("alias", T.StringType())])
+
+
+def _hits(ids: pa.Array, trie: Trie, row: np.ndarray, at: np.ndarray, size: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+    names = pa.array(trie.aliases, pa.string()).take(pa.array(number)) if len(number) else pa.array([], pa.string())
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), pa.array(at, pa.int32()), pa.array(size, pa.int32()), names], ["id", *_HIT])
+
+
+@lru_cache(maxsize=2)
+def _trie(shared) -> Trie:
+    """One trie for each worker process and dictionary."""
+    return Trie(shared.value)
 
 
 def mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", most_aliases: int = MOST_ALIASES, only_longest: bool = False) -> DataFrame:
     """``(doc_id, pos, n, alias, ...)``: every run of tokens that is an alias, of any length; pos from 0. Aliases are joined by blanks.
 
     ``only_longest`` leaves out hits that a longer one of the same document covers. A dictionary of at most
-    ``most_aliases`` goes to every task as a tree of tokens, and each document is read once; a larger one is joined.
+    ``most_aliases`` (and ``MOST_CHARS`` characters) goes to every task as a trie of tokens, and each document is read once; a larger one is
+    dealt out by ``sharded_mentions``. Null texts, tokens and aliases match nothing.
     """
-    aliases = [r.alias for r in lookup.select("alias").distinct().limit(most_aliases + 1).collect()]
-    if len(aliases) > most_aliases:
-        longest_one = lookup.agg(F.max(F.size(F.split("alias", " ")))).first()[0]
-        hits = ngram_mentions(docs, tokens, lookup, id_col, longest_one)
+    aliases = lookup.where("alias is not null").select("alias").distinct()
+    count, chars = aliases.agg(F.count("*"), F.coalesce(F.sum(F.length("alias")), F.lit(0))).first()
+    if count > most_aliases or chars > MOST_CHARS:
+        hits = sharded_mentions(docs, tokens, lookup, id_col)
         return longest(staged(hits, "hits"), id_col) if only_longest else hits
-    shared = docs.sparkSession.sparkContext.broadcast(aliases)
-    kind = next(f for f in docs.schema if f.name == id_col).dataType
+    shared = docs.sparkSession.sparkContext.broadcast([r.alias for r in aliases.collect()])
 
     def run(batches):
-        tree: dict = {}
-        for alias in shared.value:
-            at = tree
-            for word in alias.split(" "):
-                at = at.setdefault(word, {})
-            at[None] = alias
+        trie = _trie(shared)
         for batch in batches:
-            owner, found = [], []
-            for r, words in enumerate(batch.column("tokens").to_pylist()):
-                covered = 0  # the furthest end of the hits so far
-                for start, word in enumerate(words or []):
-                    at, end, here = tree.get(word), start + 1, []
-                    while at is not None:
-                        if None in at:
-                            here.append((start, end - start, at[None]))
-                        if end == len(words):
-                            break
-                        at, end = at.get(words[end]), end + 1
-                    if only_longest:
-                        here = [h for h in here[-1:] if start + h[1] > covered]
-                    for h in here:
-                        covered = max(covered, start + h[1])
-                        owner.append(r)
-                        found.append(h)
-            columns = list(zip(*found)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.string())))], ["id", "pos", "n", "alias"])
-
-    schema = T.StructType([T.StructField("id", kind), T.StructField("pos", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("alias", T.StringType())])
-    hits = docs.select(F.col(id_col).alias("id"), F.col(tokens).alias("tokens")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+            found = trie.walk(batch.column("tokens"))
+            if only_longest:
+                keep = longest_only(*found[:3])
+                found = tuple(x[keep] for x in found)
+            yield _hits(batch.column("id"), trie, *found)
+
+    hits = docs.select(F.col(id_col).alias("id"), F.col(tokens).alias("tokens")).mapInArrow(run, _schema(docs, id_col)).withColumnRenamed("id", id_col)
     return hits.join(lookup, "alias") if len(lookup.columns) > 1 else hits
 
 
+@dataclass(frozen=True)
+class Shards:
+    """``aliases`` of one trie; ``windows`` of a shard for one task; ``slots`` of the table that says which tokens begin an alias, one byte each."""
+
+    aliases: int = 100_000
+    windows: int = 1_000_000
+    slots: int = 1 << 20
+
+
+def sharded_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", p: Shards = Shards()) -> DataFrame:
+    """What ``mentions`` returns, for dictionaries of any size: the trie is dealt out in shards by the first token.
+
+    A table of ``slots`` bytes, whatever the dictionary, holds for the hash of a first token how long its aliases get.
+    A document sends, for each token with an entry, itself and as many tokens after it to the
+    token's shard: one row a possible start, not one a run of tokens. A shard with more than ``aliases`` is cut into chunks,
+    each of which sees all its windows; one with more than ``windows`` is cut into salts, each of which gets all its aliases.
+    So a first token may hold any share of the dictionary or of the texts. Ids and rows may repeat.
+    """
+    aliases = lookup.where("alias is not null").select("alias").distinct()
+    first = F.substring_index("alias", " ", 1)
+    aliases = staged(aliases.select("alias", F.crc32(first).alias("crc"), F.least(F.size(F.split("alias", " ")), F.lit(255)).alias("words")), "aliases")
+    n_shards = max(1, -(-aliases.count() // p.aliases))
+    reach = np.zeros(p.slots, np.uint8)
+    for slot, words in aliases.groupBy((F.col("crc") % p.slots).alias("slot")).agg(F.max("words")).toArrow().to_pandas().itertuples(index=False):
+        reach[slot] = words  # 255: as far as the text goes
+    shared = docs.sparkSession.sparkContext.broadcast(reach)
+    kind = next(f for f in docs.schema if f.name == id_col).dataType
+    window = T.StructType([T.StructField("id", kind), T.StructField("pos", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.StringType()))])
+    windows = staged(docs.select(F.col(id_col).alias("id"), F.col(tokens).alias("tokens")).mapInArrow(_windows(shared, n_shards), window), "windows")
+    held = aliases.groupBy((F.col("crc") % n_shards).cast("int").alias("shard")).agg(F.count("*").alias("held"))
+    plan = windows.groupBy("shard").agg(F.count("*").alias("n")).join(held, "shard")
+    plan = plan.select("shard", "n", F.ceil(F.col("held") / p.aliases).cast("int").alias("chunks"), F.ceil(F.col("n") / p.windows).cast("int").alias("salts"))
+    plan = staged(plan, "plan")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    # null tokens may stand in windows, so what tells the two kinds of rows apart is ``head``
+    heads = aliases.withColumn("shard", (F.col("crc") % n_shards).cast("int")).join(plan.hint("merge"), "shard")
+    heads = heads.select("shard", F.pmod(F.xxhash64("alias"), F.col("chunks")).cast("int").alias("chunk"), each("salts").alias("salt"), F.lit(0).alias("head"), none("id", kind), none("pos", "int"), none("tokens", "array<string>"), "alias")
+    rows = join_counted(windows, plan, "shard")
+    salt = F.pmod(F.xxhash64("id", "pos"), F.col("salts")).cast("int").alias("salt")
+    rows = rows.select("shard", each("chunks").alias("chunk"), salt, F.lit(1).alias("head"), "id", "pos", "tokens", none("alias", "string"))
+    group = ["shard", "chunk", "salt"]
+    dealt = heads.unionByName(rows).repartition(*group).sortWithinPartitions(*group, "head")
+    hits = dealt.mapInArrow(_in_shards, _schema(docs, id_col)).withColumnRenamed("id", id_col)
+    return hits.join(lookup, "alias") if len(lookup.columns) > 1 else hits
+
+
+def _windows(shared, n_shards: int):
+    """Rows (id, pos, shard, tokens) for every token that may begin an alias."""
+
+    def run(batches):
+        reach = shared.value
+        for batch in batches:
+            lists = batch.column("tokens")
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = lists.flatten()
+            coded = flat.dictionary_encode()
+            crcs = np.fromiter((crc32(t.encode()) for t in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+            known = ~coded.indices.is_null().to_numpy(zero_copy_only=False)
+            crc = np.append(crcs, 0)[coded.indices.fill_null(len(crcs)).to_numpy(zero_copy_only=False)]
+            far = np.where(known, reach[crc % len(reach)], 0).astype(np.int64)
+            at = np.flatnonzero(far)
+            past = np.cumsum(lengths)
+            row = np.repeat(np.arange(len(lengths)), lengths)[at]
+            size = np.where(far[at] == 255, past[row] - at, np.minimum(far[at], past[row] - at))
+            for lo in range(0, max(len(at), 1), 100_000):  # windows overlap: in parts, for bounded memory
+                part = slice(lo, lo + 100_000)
+                ends = np.cumsum(size[part])
+                spots = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at[part] - (ends - size[part]), size[part])
+                lists_out = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), flat.take(pa.array(spots)))
+                pos = at[part] - (past - lengths)[row[part]]
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[part])), pa.array(pos, pa.int32()), pa.array(crc[at[part]] % n_shards, pa.int32()), lists_out], ["id", "pos", "shard", "tokens"])
+
+    return run
+
+
+def _in_shards(batches):
+    """Hits at the first token of windows; the aliases of a shard's chunk come before its windows."""
+    key, aliases, trie = None, [], None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("shard", "chunk", "salt", "head")], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi == lo:
+                continue
+            this, part = tuple(keys[lo, :3].tolist()), batch.slice(lo, hi - lo)
+            if this != key:
+                key, aliases, trie = this, [], None
+            if keys[lo, 3] == 0:
+                aliases += part.column("alias").to_pylist()
+                continue
+            trie = trie or Trie(aliases)
+            row, at, size, number = trie.walk(part.column("tokens"), anywhere=False)
+            yield _hits(part.column("id"), trie, row, part.column("pos").to_numpy()[row] + at, size, number)
+
+
 def ngram_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", most: int = 3) -> DataFrame:
     """``(doc_id, pos, n, alias, ...)``: runs of 1 to ``most`` tokens that are an alias; pos from 0. Aliases are joined by blanks."""
     grams = F.flatten(

@@ -5,15 +5,17 @@ and full name, {AA2}, {aa2} and {name2} for what they change to, {aa3} and {aa4}
 and {bases2} for nucleotides, {n}, {n2} for places in a protein and {at}, {at2} for places in a gene.
 Blanks may be left out of a text or be longer, and signs other than "/" may have blanks around them.
 
-Each document is one scan by a scalar function over Arrow batches: phrasings run from long to
-short, and a match blanks its span for those that follow, which no SQL expression states.
+Each document is one scan by a scalar function over Arrow batches. One pass cuts it into islands: stretches made of nothing but
+what a phrasing can hold. Within an island the anchors that are there (names, codes, words, signs) say which phrasings can match
+at all; those run from long to short, and a match claims its span, which no SQL expression states.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -86,51 +88,59 @@ FORMS = {
     "residue deletion": lambda d: f"p.{d['n']}del{_one(d['from'])}",
     "ignored": None,
 }
-# Phrasings whose matches may overlap others; they blank nothing.
+# Phrasings whose matches may overlap others; they claim nothing.
 OVERLAP = ("{aa}{n}{aa2}", "{aa}{n}{aa3}/{aa2}", "{aa}{n}{aa3}/{aa4}/{aa2}")
-
-
-def _spelled_out() -> list[str]:
-    """Changes in words: what changes into what, how it is called, and where."""
-    out = []
-    for joint in ("-to-", " to "):
-        for change, place in product((" mutation", " substitution", " alteration", " change"), ("at residue", "at amino acid", "at amino acid position", "at position", "in position")):
-            out.append(f"{{name}}{joint}{{name2}}{change} {place} {{n}}")
-        out += [f"{{name}}{joint}{{name2}} {place} {{n}}" for place in ("at residue", "at amino acid")]
-    return out
-
-
-# Phrasings by kind.
-PHRASINGS = {
-    "ignored": [
-        "{AA}{n}{AA2}{n2}", "{AA}{n}/{AA2}/{n2}", "{AA}{n} to {AA2} {n2}", "{AA}-{n} to {AA2}-{n2}", "{AA}{n}-to-{AA2}{n2}", "{AA}{n}->{AA2}{n2}", "{AA}{n}-->{AA2}{n2}",
+# Phrasings by kind, in their order; of equally long ones the earlier comes first.
+PHRASINGS = [
+    ("ignored", [
+        "{AA}{n}{AA2}{n2}", "{AA}{n}/{AA2}/{n2}", "{AA}{n} to {AA2} {n2}", "{AA}-{n} to {AA2}-{n2}", "{AA}{n}-to-{AA2}-{n2}", "{AA}{n}->{AA2}{n2}", "{AA}{n}-->{AA2}{n2}",
         "{AA}{n}-{AA2}-{n2}", "{AA}{n}----{AA2}{n2}", "{n}{AA}----{AA2}{n2}", "{AA}-{n}-{AA2}-{n2}", "{AA}-{n}{AA2}-{n2}", "{AA}-{n} -> {AA2}-{n2}", "{AA}-{n} --> {AA2}-{n2}",
         "{AA}({n}){AA2}({n2})",
-    ],
-    "gene": [
+    ]),
+    ("protein", ["{aa}{n}{aa2}", "{aa}{n}{aa3}/{aa2}", "{aa}{n}{aa3}/{aa4}/{aa2}"]),
+    ("gene", [
         "{b}{at}{b2}", "c.{b}{at}{b2}", "c.{at}{b}>{b2}", "c.{at}{b}/{b2}", "{at}{b}>{b2}", "{b}/{b2}-{at}", "{at}{b}->{b2}", "{at}{b}-->{b2}", "{b}{at}->{b2}", "{b}{at}-->{b2}",
-        "{at}{b}-{b2}", "{b} modified {b2} {at}", "{at}{b}/{b2}", "{at},{b}/{b2}", "({at}) {b}/{b2}", "{at} ({b}/{b2})", "g+{at}{b}>{b2}", "{bases}{at}{bases2}",
-        *[f"{{b}} to {{b2}}{how} at {where} {{at}}" for how in (" substitution", "") for where in ("nucleotide", "position")],
-    ],
-    "base deletion": ["c.{at}del{b}", "c.{at}{b}del", "{at}del{b}", "{at}{b}del"],
-    "deletion": ["c.{at}-{at2}del", "c.{at}_{at2}del", "{at}-{at2}del", "{at}_{at2}del"],
-    "base duplication": ["c.{at}dup"],
-    "duplication": ["c.{at}-{at2}dup", "c.{at}_{at2}dup", "{at}-{at2}dup", "{at}_{at2}dup"],
-    "genome": ["g.{at}{b}>{b2}"],
-    "mitochondrion": ["m.{at}{b}>{b2}"],
-    "protein": [
-        *OVERLAP, "{AA}{n}{AA2}", "{AA}{n}/{AA2}", "{AA}{n} to {AA2}", "{AA}-{n} to {AA2}", "{AA}{n}-to-{AA2}", "{AA}{n}->{AA2}", "{AA}{n}-->{AA2}", "{AA}{n}-{AA2}", "{AA}{n}----{AA2}",
+        "{at}{b}-{b2}", "{b} modified {b2} {at}", "{at}{b}/{b2}", "{at},{b}/{b2}", "({at}) {b}/{b2}", "{at} ({b}/{b2})", "{b} to {b2} substitution at nucleotide {at}",
+        "{b} to {b2} substitution at position {at}", "{b} to {b2} at nucleotide {at}", "{b} to {b2} at position {at}", "g+{at}{b}>{b2}",
+    ]),
+    ("base deletion", ["c.{at}del{b}", "c.{at}{b}del", "{at}del{b}", "{at}{b}del"]),
+    ("gene", ["{bases}{at}{bases2}"]),
+    ("deletion", ["c.{at}-{at2}del", "c.{at}_{at2}del", "{at}-{at2}del", "{at}_{at2}del"]),
+    ("base duplication", ["c.{at}dup"]),
+    ("duplication", ["c.{at}-{at2}dup", "c.{at}_{at2}dup", "{at}-{at2}dup", "{at}_{at2}dup"]),
+    ("genome", ["g.{at}{b}>{b2}"]),
+    ("mitochondrion", ["m.{at}{b}>{b2}"]),
+    ("protein", [
+        "{AA}{n}{AA2}", "{AA}{n}/{AA2}", "{AA}{n} to {AA2}", "{AA}-{n} to {AA2}", "{AA}{n}-to-{AA2}", "{AA}{n}->{AA2}", "{AA}{n}-->{AA2}", "{AA}{n}-{AA2}", "{AA}{n}----{AA2}",
         "{n}{AA}----{AA2}", "{AA}-{n}-{AA2}", "{AA}-{n}{AA2}", "{AA}-{n} -> {AA2}", "{AA}-{n} --> {AA2}", "{AA}({n}){AA2}", "p.{AA}{n}{AA2}", "{AA}-to-{AA2} substitution at position {n}",
-        "{AA} {n} is replaced by {AA2}", "{AA} {n} mutated to {AA2}", "{AA} {n} was mutated to {AA2}", *_spelled_out(), "{name} by {name2} at position {n}", "{name}-{n}-{name2}",
-        "{name}-{n} -> {name2}", "{name}-{n} --> {name2}", "{name} {n} {name2}", "{name} {n} changed to {name2}", "{name}-{n} {name2}", "{name} {n}-{name2}", "{name} {n} to {name2}",
-        "{name} {n} by {name2}", "{n} {name} to {name2}", "{name2} for {name} at amino acid {n}", "{name2} for {name} at position {n}", "{name2} for {name} {n}",
+        "{AA} {n} is replaced by {AA2}", "{AA} {n} mutated to {AA2}", "{AA} {n} was mutated to {AA2}",
+        "{name}-to-{name2} mutation at residue {n}", "{name}-to-{name2} mutation at amino acid {n}", "{name}-to-{name2} mutation at amino acid position {n}",
+        "{name}-to-{name2} mutation at position {n}", "{name}-to-{name2} mutation in position {n}",
+        "{name}-to-{name2} substitution at residue {n}", "{name}-to-{name2} substitution at amino acid {n}", "{name}-to-{name2} substitution at amino acid position {n}",
+        "{name}-to-{name2} substitution at position {n}", "{name}-to-{name2} substitution in position {n}",
+        "{name}-to-{name2} alteration at residue {n}", "{name}-to-{name2} alteration at amino acid {n}", "{name}-to-{name2} alteration at amino acid position {n}",
+        "{name}-to-{name2} alteration at position {n}", "{name}-to-{name2} alteration in position {n}",
+        "{name}-to-{name2} change at residue {n}", "{name}-to-{name2} change at amino acid {n}", "{name}-to-{name2} change at amino acid position {n}",
+        "{name}-to-{name2} change at position {n}", "{name}-to-{name2} change in position {n}",
+        "{name}-to-{name2} at residue {n}", "{name}-to-{name2} at amino acid {n}",
+        "{name} to {name2} mutation at residue {n}", "{name} to {name2} mutation at amino acid {n}", "{name} to {name2} mutation at amino acid position {n}",
+        "{name} to {name2} mutation at position {n}", "{name} to {name2} mutation in position {n}",
+        "{name} to {name2} substitution at residue {n}", "{name} to {name2} substitution at amino acid {n}", "{name} to {name2} substitution at amino acid position {n}",
+        "{name} to {name2} substitution at position {n}", "{name} to {name2} substitution in position {n}",
+        "{name} to {name2} alteration at residue {n}", "{name} to {name2} alteration at amino acid {n}", "{name} to {name2} alteration at amino acid position {n}",
+        "{name} to {name2} alteration at position {n}", "{name} to {name2} alteration in position {n}",
+        "{name} to {name2} change at residue {n}", "{name} to {name2} change at amino acid {n}", "{name} to {name2} change at amino acid position {n}",
+        "{name} to {name2} change at position {n}", "{name} to {name2} change in position {n}",
+        "{name} to {name2} at residue {n}", "{name} to {name2} at amino acid {n}", "{name} by {name2} at position {n}",
+        "{name}-{n}-{name2}", "{name}-{n} -> {name2}", "{name}-{n} --> {name2}", "{name} {n} {name2}", "{name} {n} changed to {name2}", "{name}-{n} {name2}", "{name} {n}-{name2}",
+        "{name} {n} to {name2}", "{name} {n} by {name2}", "{n} {name} to {name2}", "{name2} for {name} at amino acid {n}", "{name2} for {name} at position {n}", "{name2} for {name} {n}",
         "{name2}-for-{name} at position {n}", "{name2} for {name} substitution at position {n}", "{name2}-for-{name} substitution at position {n}", "{name2} for a {name} at position {n}",
         "{name2} for an {name} at position {n}", "p.{aa}{n}{aa2}", "p.({aa}{n}{aa2})", "{n}{aa}>{aa2}", "{n}{aa}->{aa2}", "{n}{aa}-->{aa2}", "{aa}{n}->{aa2}", "{aa}{n}-->{aa2}",
-    ],
-    "frameshift": ["{aa}{n}fs"],
-    "frameshift to": ["p.{aa}{n}fsX{n2}", "p.{AA}{n}fsx{n2}", "{AA}{n}fsx{n2}"],
-    "residue deletion": ["{AA}{n}del", "p.{aa}{n}del", "p.{n}del{aa}", "{aa}{n}del", "{n}del{aa}"],
-}
+    ]),
+    ("frameshift", ["{aa}{n}fs"]),
+    ("frameshift to", ["p.{aa}{n}fsX{n2}", "p.{AA}{n}fsx{n2}", "{AA}{n}fsx{n2}"]),
+    ("residue deletion", ["{AA}{n}del", "p.{aa}{n}del", "p.{n}del{aa}", "{aa}{n}del", "{n}del{aa}"]),
+]
 PARTS = re.compile(r"\{(\w+)\}|([A-Za-z0-9]+)|( )|(.)")
 
 
@@ -146,11 +156,134 @@ def pattern(phrasing: str) -> str:
     return out
 
 
+@dataclass(frozen=True)
+class Phrasing:
+    regex: re.Pattern
+    text: str
+    kind: str
+    needs: frozenset[str]
+
+
 @lru_cache(maxsize=1)
-def compiled() -> list[tuple[re.Pattern, str, str]]:
-    """(pattern, phrasing, kind), the phrasings with the longest samples first."""
-    every = [(PARTS.sub(lambda m: SLOTS[m[1]][1] if m[1] else m[0], p), p, kind) for kind, ps in PHRASINGS.items() for p in ps]
-    return [(re.compile(rf"\b{pattern(p)}\b", re.I), p, kind) for _, p, kind in sorted(every, key=lambda x: -len(x[0]))]
+def compiled() -> list[Phrasing]:
+    """The phrasings with the longest samples first."""
+    every = [(len(PARTS.sub(lambda m: SLOTS[m[1]][1] if m[1] else m[0], p)), p, kind) for kind, ps in PHRASINGS for p in ps]
+    return [Phrasing(re.compile(rf"\b{pattern(p)}\b", re.I), p, kind, needs(p)) for _, p, kind in sorted(every, key=lambda x: -x[0])]
+
+
+def needs(phrasing: str) -> frozenset[str]:
+    """The anchors without which a phrasing cannot match: full names, three-letter codes, words of its own, and signs."""
+    found = set()
+    for slot, word, _, sign in PARTS.findall(phrasing):
+        if slot in ("name", "name2", "AA"):
+            found.add(slot[:4])
+        elif len(word) > 1:  # one letter may be a part of any other word
+            found.add(word.lower())
+        elif sign:
+            found.add(sign)
+    return frozenset(found)
+
+
+def _own(length: range) -> list[str]:
+    """Words that phrasings hold beside slots, by length, long ones first."""
+    return sorted({w.lower() for _, ps in PHRASINGS for p in ps for _, w, *_ in PARTS.findall(p) if len(w) in length}, key=lambda w: (-len(w), w))
+
+
+#: Signs that may stand in a match, and blanks.
+GAP = frozenset({sign for _, ps in PHRASINGS for p in ps for *_, sign in PARTS.findall(p) if sign} | {"*"})
+WORDS = _own(range(2, 100))
+#: What a word of a match without a digit is spelled by, lower case; a word of one sign may be a residue.
+SPELLED_BY = [*NAMES, *AMINO, "ter", "stop", *WORDS, *"acgt", *_own(range(1, 2))]
+ANCHORS = re.compile("".join(f"(?=(?P<{name}>{options}))?" for name, options in [("name", NAME), ("AA", THREE), *((f"w{i}", w) for i, w in enumerate(WORDS))]), re.I)
+
+
+@lru_cache(maxsize=1 << 16)
+def spelled(word: str) -> bool:
+    """Whether a word without a digit can stand in a match. One of hundreds of letters is taken to; the phrasings decide."""
+    if len(word) == 1 or len(word) > 400:
+        return True
+    word, reached = word.lower(), {0}
+    for i in range(len(word)):
+        if i in reached:
+            reached |= {i + len(x) for x in SPELLED_BY if word.startswith(x, i)}
+    # letters of which some other one is the upper case, as of the long s
+    return len(word) in reached or not word.isascii()
+
+
+def anchors(text: str, lo: int, hi: int) -> set[str]:
+    """All anchors in a stretch of text, overlapping ones too."""
+    found = GAP & set(text[lo:hi])
+    for i in range(lo, hi):
+        if text[i].isalpha():
+            found |= {k if k in ("name", "AA") else WORDS[int(k[1:])] for k, v in ANCHORS.match(text, i).groupdict().items() if v}
+    return found
+
+
+def islands(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches around digits of nothing but what can stand in a match: blanks, signs, words with digits or spelled by parts.
+
+    A match holds a digit and is made of whole words, so it lies within one, however many blanks it holds.
+    """
+    gap = lambda c: c in GAP or c.isspace()
+    word = lambda c: c == "_" or c.isalnum()
+    now: tuple[int, int] | None = None
+    for digits in re.finditer("[0-9]+", text):
+        if now and digits.start() < now[1]:
+            continue
+        floor = now[1] if now else 0
+        lo = start = digits.start()
+        while lo > floor and word(text[lo - 1]):
+            lo -= 1
+        while True:  # leftward, blanks and signs, then a word that may belong
+            at = lo
+            while at > floor and gap(text[at - 1]):
+                at -= 1
+            start = at
+            while start > floor and word(text[start - 1]):
+                start -= 1
+            if start == at or not (spelled(text[start:at]) or (start == floor and now)):
+                break
+            lo = start
+        lo, hi = at, digits.end()
+        while True:  # rightward
+            while hi < len(text) and word(text[hi]):
+                hi += 1
+            at = hi
+            while at < len(text) and gap(text[at]):
+                at += 1
+            end = at
+            while end < len(text) and word(text[end]):
+                end += 1
+            if end == at or not (DIGIT.search(text, at, end) or spelled(text[at:end])):
+                break
+            hi = end
+        hi = at
+        if now and lo <= now[1]:
+            lo = now[0]
+        elif now:
+            yield now
+        now = lo, hi
+    if now:
+        yield now
+
+
+class Claims:
+    """Spans of an island that were granted; to those who come later they read as blanks."""
+
+    def __init__(self, text: str, lo: int, hi: int):
+        # what stands before and after decides on the ends of words
+        past = WORD.match(text, hi)
+        self.shift = max(0, lo - 1)
+        self.lo, self.hi = lo - self.shift, (past.end() if past else hi) - self.shift
+        self.left = text[self.shift : self.hi + self.shift]
+
+    def matches(self, regex: re.Pattern) -> list[tuple[int, int, re.Match]]:
+        return [(m.start() + self.shift, m.end() + self.shift, m) for m in regex.finditer(self.left, self.lo, self.hi)]
+
+    def grant(self, spans: list[tuple[int, int]]) -> None:
+        for start, end in spans:
+            start, end = start - self.shift, end - self.shift
+            self.left = self.left[:start] + " " * (end - start) + self.left[end:]
 
 
 # Fixed patterns of dbSNP ids and lineages.
@@ -163,57 +296,35 @@ LINEAGE = [
 FOUND = "array<struct<start:int,end:int,type:string,text:string,normalized:string>>"
 
 
-def _near_digits(text: str, reach: int = 120) -> list[tuple[int, int]]:
-    """Stretches of ``text``, cut at blanks, around its digits: every phrasing has one and is shorter than ``reach``, blanks aside."""
-    if re.search(r"\s{10}", text):
-        return [(0, len(text))]
-    out: list[tuple[int, int]] = []
-    for m in re.finditer(r"\d+", text):
-        lo, hi = m.start() - reach, m.end() + reach
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], hi)
-        else:
-            out.append((lo, hi))
-    gap = re.compile(r"\s")
-    cut = []
-    for lo, hi in out:
-        lo = max(0, lo)
-        while lo and not text[lo - 1].isspace():
-            lo -= 1
-        past = gap.search(text, min(hi, len(text)))
-        hi = past.start() if past else len(text)
-        if cut and lo <= cut[-1][1]:
-            lo = cut.pop()[0]
-        cut.append((lo, hi))
-    return cut
+DIGIT, WORD = re.compile("[0-9]"), re.compile(r"\w+")
 
 
 def find(text: str | None, stop: frozenset[str] = frozenset()) -> list[tuple[int, int, str, str, str]]:
     """(start, end, type, text, normal form) by start.
 
-    A stopword's span is neither found nor blanked; an ignored phrasing's is blanked only. Of several phrasings of one span
+    A stopword's span is neither found nor claimed; an ignored phrasing's is claimed only. Of several phrasings of one span
     the shorter counts. Of a list of alleles such as T790E/M the last one's span is its slash and letter.
     """
     text = text or ""
-    left, out = text, {}
-    places = _near_digits(text)
-    for regex, phrasing, kind in compiled() if places else ():
-        blank = []
-        for m in (m for lo, hi in places for m in regex.finditer(left, lo, hi)):
-            if m[0].lower() in stop:
+    out: dict = {}
+    for lo, hi in islands(text) if DIGIT.search(text) else ():
+        claims, there = Claims(text, lo, hi), anchors(text, lo, hi)
+        for phrasing in compiled():
+            if not phrasing.needs <= there:
                 continue
-            start, end = m.span()
-            if "{aa3}" in phrasing:
-                start = end - 2
-            if FORMS[kind]:
-                parts = m.groupdict()
-                if "at" in phrasing and kind != "protein":
+            granted = []
+            for start, end, m in claims.matches(phrasing.regex):
+                if m[0].lower() in stop:
+                    continue
+                granted.append((start, end))
+                if "{aa3}" in phrasing.text:
+                    start = end - 2
+                if FORMS[phrasing.kind]:
+                    parts = m.groupdict()
                     parts["n"] = parts["n"].rstrip("-+")
-                out[start, end] = ("variant", text[start:end], FORMS[kind](parts))
-            blank.append((start, end))
-        if phrasing not in OVERLAP:
-            for start, end in blank:
-                left = left[:start] + " " * (end - start) + left[end:]
+                    out[start, end] = ("variant", text[start:end], FORMS[phrasing.kind](parts))
+            if phrasing.text not in OVERLAP:
+                claims.grant(granted)
     found = [(s, e, *v) for (s, e), v in out.items()]
     found += [(*m.span(), "variant", m[0], m[0]) for m in SNP.finditer(text)]
     for regex in LINEAGE:

@@ -293,6 +293,14 @@ def ngram_mentions(spark, d):
     return _mentioned(spark, d)
 
 
+@query(f"WITH {_PHRASES} SELECT doc_id, pos, n, alias FROM m")
+def sharded_mentions(spark, d):
+    """The same places from a trie in many shards, as a dictionary beyond a task's memory is dealt out."""
+    rows = table(spark, d, "documents").select("doc_id", _tokens(F.col("text")).alias("w"))
+    hits = mentions.sharded_mentions(rows, "w", _phrase_lookup(spark, d), p=mentions.Shards(aliases=500, windows=50_000))
+    return hits.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("n").cast("long").alias("n"), "alias")
+
+
 @query(f"""WITH {_PHRASES}, c AS (SELECT doc_id, pos AS p, n AS k, unnest(range(pos, pos + n)) AS q FROM m)
 SELECT doc_id, pos, n, alias FROM m WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = m.doc_id AND c.q = m.pos AND c.k > m.n AND m.pos + m.n <= c.p + c.k)""")
 def longest_match(spark, d):

@@ -19,10 +19,28 @@ def tfidf_lr(spark, d):
     return ml.predict_labels(rows, features, models).select("doc_id", F.col("quality_score").alias("score"))
 
 
+#: What is put after a document's text, by doc_id modulo 6; {n} and {m} are made from the id.
+PLANTED = ["T{n}M", "Threonine-to-Methionine mutation at residue {n}", "THR{n}-to-MET-{m}", "c.{n}G>A", "c.{n}_{m}del", "T{n}E/M"]
+
+
 def variants_in_documents(spark, d):
-    """Variants and lineages of every document."""
-    rows = variants.variants(table(spark, d, "documents").select("doc_id", "text"), "text")
-    return rows.select("doc_id", F.size("variants").alias("n"), F.to_json("variants").alias("mentions"))
+    """Variants of every document and of what is planted in it: a residue, words, an ignored phrasing, a base, a deletion, alleles."""
+    n = (F.col("doc_id") % 1000 + 1).cast("string")
+    m = (F.col("doc_id") % 1000 + 8).cast("string")
+    said = F.element_at(F.array(*map(F.lit, PLANTED)), (F.col("doc_id") % 6 + 1).cast("int"))
+    said = F.replace(F.replace(said, F.lit("{n}"), n), F.lit("{m}"), m)
+    rows = table(spark, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("; "), said, F.lit(";")).alias("text"))
+    found = variants.variants(rows, "text").select("doc_id", F.inline("variants"))
+    return found.select("doc_id", F.col("start").cast("long").alias("first"), F.col("end").cast("long").alias("past"), "text", "normalized")
+
+
+_PLANTED = """p AS (SELECT doc_id, length(coalesce(text, '')) + 2 AS s, CAST(doc_id % 1000 + 1 AS VARCHAR) AS n, CAST(doc_id % 1000 + 8 AS VARCHAR) AS m, doc_id % 6 AS k FROM documents),
+f AS (SELECT doc_id, s, 'T' || n || 'M' AS text, 'p.T' || n || 'M' AS normalized FROM p WHERE k = 0
+UNION ALL SELECT doc_id, s, 'Threonine-to-Methionine mutation at residue ' || n, 'p.T' || n || 'M' FROM p WHERE k = 1
+UNION ALL SELECT doc_id, s, 'c.' || n || 'G>A', 'c.' || n || 'G>A' FROM p WHERE k = 3
+UNION ALL SELECT doc_id, s, 'c.' || n || '_' || m || 'del', 'c.' || n || '_' || m || 'del' FROM p WHERE k = 4
+UNION ALL SELECT doc_id, s, 'T' || n || 'E', 'p.T' || n || 'E' FROM p WHERE k = 5
+UNION ALL SELECT doc_id, s + length(n) + 2, '/M', 'p.T' || n || 'M' FROM p WHERE k = 5)"""
 
 
 def incremental_equals_batch(spark, d):
@@ -54,6 +72,7 @@ QUERIES = {
     f.__name__: f for f in (tfidf_lr, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
 }
 ORACLE = {
+    "variants_in_documents": f"WITH {_PLANTED} SELECT doc_id, s AS first, s + length(text) AS past, text, normalized FROM f",
     "incremental_equals_batch": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "star_facts": f"WITH {_E} SELECT DISTINCT o AS document_id, CAST(entity_id AS INTEGER) AS entity_id FROM e JOIN q USING (type, name) WHERE o IN (SELECT o FROM e WHERE type = 'Virus')",
 }
