@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import product
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, HashingTF, NGram, OneHotEncoder, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
@@ -13,6 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lithos.operators.active import greedy, what_if  # noqa: F401  the model-based choice, beside the simpler ones here
+from lithos.operators.svd import SVDModel, TruncatedSVD
+
 
 def vectoriser(texts: list[str], categories: list[str] = (), features: int = 1 << 16) -> Pipeline:
     """TF-IDF of words and word pairs of each text column, and one-hot categories; unseen categories are zeros."""
@@ -51,16 +53,29 @@ def balanced(rows: DataFrame, label: Column) -> DataFrame:
     return rows.withColumn("weight", weight[F.col("label")])
 
 
-def fit_labels(rows: DataFrame, labels: list[str], text: list[str], kind: str = "LR", **kwargs) -> tuple[PipelineModel, dict]:
-    """The features and a model for each 0/1 column in ``labels``."""
-    features = vectoriser(text, **{k: v for k, v in kwargs.items() if k in ("categories", "features")}).fit(rows)
+@dataclass
+class Features:
+    """A fitted vectoriser, and a decomposition of what it gives if one was asked for."""
+
+    pipeline: PipelineModel
+    svd: SVDModel | None = None
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        out = self.pipeline.transform(rows)
+        return self.svd.transform(out) if self.svd else out
+
+
+def fit_labels(rows: DataFrame, labels: list[str], text: list[str], kind: str = "LR", svd: int | None = None, **kwargs) -> tuple[Features, dict]:
+    """The features, of ``svd`` components if that is given, and a model for each 0/1 column in ``labels``."""
+    pipeline = vectoriser(text, **{k: v for k, v in kwargs.items() if k in ("categories", "features")}).fit(rows)
+    features = Features(pipeline, TruncatedSVD(svd).fit(pipeline.transform(rows)) if svd else None)
     ready = features.transform(rows).select("features", *labels).cache()
     models = {x: classifier(kind, **{k: v for k, v in kwargs.items() if k in ("c", "trees")}).fit(balanced(ready, F.col(x))) for x in labels}
     ready.unpersist()
     return features, models
 
 
-def predict_labels(rows: DataFrame, features: PipelineModel, models: dict) -> DataFrame:
+def predict_labels(rows: DataFrame, features: Features, models: dict) -> DataFrame:
     """``rows`` with a score column for each label."""
     out = features.transform(rows)
     for name, model in models.items():
@@ -97,76 +112,6 @@ def undecided(scores: Column, least: float) -> Column:
     return F.array_max(scores) < least
 
 
-#: Most rows of a session's training set, and most candidates, that are sent to the tasks.
-SESSION = 20_000
-
-
-def _bounded(rows: DataFrame, most: int, what: str) -> list:
-    found = rows.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} {what}")
-    return found
-
-
-def what_if(train: DataFrame, pool: DataFrame, candidates: DataFrame, low: float = 0.3, high: float = 0.7, steps: int = 15, most: int = SESSION) -> DataFrame:
-    """For each candidate and either answer: how many pool rows a model refitted with it would decide.
-
-    ``train`` is (x array, y 0/1), ``pool`` is (x) and ``candidates`` (id, x). Models are fitted side by side, one
-    group a candidate; the pool, of any size, is then read once and scored with all of them. The training set and
-    the candidates are those of an annotation session: more than ``most`` of either raise ValueError.
-    """
-    rows = _bounded(train.select("x", "y"), most, "training rows")
-    x, y = np.array([r.x for r in rows], float), np.array([r.y for r in rows], float)
-
-    def fit(x_: np.ndarray, y_: np.ndarray) -> list[float]:
-        f, w = np.c_[x_, np.ones(len(x_))], np.zeros(x_.shape[1] + 1)
-        for _ in range(steps):  # Newton's method, with a ridge
-            q = 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))
-            w -= np.linalg.solve((f * (q * (1 - q))[:, None]).T @ f + np.eye(len(w)), f.T @ (q - y_) + w)
-        return w.tolist()
-
-    def refitted(key, rows: pd.DataFrame) -> pd.DataFrame:
-        point = np.array(rows["x"].iloc[0], float)
-        return pd.DataFrame({"id": [key[0]] * 2, "answer": [0, 1], "w": [fit(np.vstack([x, point]), np.append(y, a)) for a in (0, 1)]})
-
-    models = candidates.select("id", "x").groupBy("id").applyInPandas(refitted, "id long, answer int, w array<double>")
-    found = _bounded(models, 2 * most, "candidates' models")
-    if not found:
-        return candidates.sparkSession.createDataFrame([], "id long, if_0 long, if_1 long, mean double, least long")
-    weights = np.array([r.w for r in found]).T
-    keys = pd.DataFrame({"id": [r.id for r in found], "answer": [r.answer for r in found]})
-
-    def decided(frames):
-        total = np.zeros(len(keys), np.int64)
-        for frame in frames:
-            points = np.c_[np.vstack(frame["x"].to_numpy()).astype(float), np.ones(len(frame))]
-            q = 1 / (1 + np.exp(-np.clip(points @ weights, -30, 30)))
-            total += ((q < low) | (q > high)).sum(0)
-        yield keys.assign(n=total)
-
-    counts = pool.select("x").mapInPandas(decided, "id long, answer int, n long")
-    of = lambda a: F.sum(F.when(F.col("answer") == a, F.col("n"))).alias(f"if_{a}")
-    out = counts.groupBy("id").agg(of(0), of(1))
-    return out.select("id", "if_0", "if_1", ((F.col("if_0") + F.col("if_1")) / 2).alias("mean"), F.least("if_0", "if_1").alias("least"))
-
-
-def greedy(train: DataFrame, pool: DataFrame, candidates: DataFrame, rounds: int, **kwargs) -> list[tuple[int, int]]:
-    """(id, worse outcome) of the candidates picked one after another, each added to ``train`` with the answer that decides most.
-
-    In each round the candidate with the best of the worse outcomes is picked, the least id among equals.
-    """
-    picked: list[tuple[int, int]] = []
-    for _ in range(rounds):
-        left = candidates.where(~F.col("id").isin([i for i, _ in picked])) if picked else candidates
-        best = what_if(train, pool, left, **kwargs).orderBy(F.desc("least"), "id").first()
-        if best is None:
-            break
-        picked.append((best.id, best.least))
-        answer = F.lit(int(best.if_1 > best.if_0)).cast(dict(train.dtypes)["y"]).alias("y")
-        train = train.select("x", "y").unionByName(candidates.where(F.col("id") == best.id).select("x", answer))
-    return picked
-
-
 def chosen(docs: DataFrame, mode: str, order: str, score: str | None = None, popularity: str | None = None, least: float = 0.5) -> DataFrame:
     """The one document to annotate next, the last by ``order`` among equals.
 

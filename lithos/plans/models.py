@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lithos.operators import ml, star, variants
+from lithos.operators import active, ml, sample, star, variants
 from lithos.plans.corpus import docs
 from lithos.sources import readers
 from lithos.streaming import incremental
@@ -19,6 +19,28 @@ def tfidf_lr(spark, d):
     return ml.predict_labels(rows, features, models).select("doc_id", F.col("quality_score").alias("score"))
 
 
+def tfidf_svd_lr(spark, d):
+    """The same from 32 components of the features."""
+    rows = docs(spark, d).select("doc_id", "title", "abstract")
+    train = rows.join(table(spark, d, "labels"), "doc_id")
+    features, models = ml.fit_labels(train, ["quality"], ["title", "abstract"], svd=32, features=1 << 12)
+    return ml.predict_labels(rows, features, models).select("doc_id", F.col("quality_score").alias("score"))
+
+
+def active_picks(spark, d):
+    """Five vectors to label next: those after whose answer, whichever it is, most of all vectors are decided.
+
+    The session is that of an annotator: 400 labelled vectors, and 200 of the undecided others to choose from, both by hash.
+    """
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"), (F.col("label") % 2).alias("y"))
+    rows = rows.where("id is not null and x is not null and y is not null")
+    train = sample.bottom(rows, "id", 400, seed="labelled")
+    others = rows.join(train.select("id"), "id", "left_anti")
+    candidates = sample.bottom(others, "id", 200, seed="candidates")
+    picks = active.greedy(train, others, candidates, 5)
+    return spark.createDataFrame([(k + 1, i, n) for k, (i, n) in enumerate(picks)], "round int, vec_id long, decided long")
+
+
 #: What is put after a document's text, by doc_id modulo 6; {n} and {m} are made from the id.
 PLANTED = ["T{n}M", "Threonine-to-Methionine mutation at residue {n}", "THR{n}-to-MET-{m}", "c.{n}G>A", "c.{n}_{m}del", "T{n}E/M"]
 
@@ -69,7 +91,7 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END, 'Source', source FROM do
 n AS (SELECT type, name, min(o * 2 + p) AS f FROM e GROUP BY 1, 2), q AS (SELECT row_number() OVER (ORDER BY f, type, name) AS entity_id, * FROM n)"""
 
 QUERIES = {
-    f.__name__: f for f in (tfidf_lr, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
+    f.__name__: f for f in (tfidf_lr, tfidf_svd_lr, active_picks, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
 }
 ORACLE = {
     "variants_in_documents": f"WITH {_PLANTED} SELECT doc_id, s AS first, s + length(text) AS past, text, normalized FROM f",
