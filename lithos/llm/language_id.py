@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,20 +83,22 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 12, seed: i
     return w.astype(np.float32)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 300, languages: int = 256, sample: int = 16_000, key_col: str = "doc_id") -> Model:
-    """Train on a bounded sample: the ``per_language`` labelled texts of each language whose hashed keys are least.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 300, languages: int | None = None, sample: int = 16_000, key_col: str = "doc_id") -> Model:
+    """Train on a bounded sample: the ``per_language`` labelled texts of each language whose hashes, of key and text, are least.
 
-    Of more than ``languages`` values of ``lang_col`` the most frequent are learnt, and with many of them fewer texts
-    of each, ``sample`` in all. About 1.6 times as many feature rows reach the driver, whatever the size of ``labelled``.
+    All values of ``lang_col`` are learnt, or the ``languages`` most frequent if that is given; with many of them fewer texts
+    of each, ``sample`` in all but one of each at least. Rows of one key and text count once. About 1.6 times as many feature rows
+    reach the driver, whatever the size of ``labelled``. The machines are trained side by side in tasks, over that sample.
     """
     model = Model()
     rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    sizes = {r.lang: r.n for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
+    at = F.xxhash64(F.col(key_col).cast("string"), F.col(text_col))
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.approx_count_distinct(at).alias("n"))
+    sizes = {r.lang: max(1, r.n) for r in counts.orderBy(F.desc("n"), "lang").limit(languages or (1 << 31) - 1).collect()}
     if not sizes:
         return model
     per_language = min(per_language, max(1, sample // len(sizes)))
     share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, (1.6 * per_language + 30) / n))])
-    at = F.xxhash64(F.col(key_col).cast("string"))
     drawn = rows.where(at.cast("double") / F.lit(2.0**64) + 0.5 <= share[F.col(lang_col)])
     drawn = drawn.select(F.col(lang_col).alias("lang"), at.alias("at"), F.col(text_col).alias("text"))
 
@@ -109,7 +111,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
                     [langs.slice(i, j - i), ats.slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "at", "x"]
                 )
 
-    table = drawn.mapInArrow(rows_of, "lang string, at long, x binary").toArrow().sort_by([("lang", "ascending"), ("at", "ascending")])
+    table = drawn.mapInArrow(rows_of, "lang string, at long, x binary").dropDuplicates(["lang", "at"]).toArrow().sort_by([("lang", "ascending"), ("at", "ascending")])
     langs = np.array(table.column("lang").to_pylist())
     x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float16).reshape(len(langs), DIM + 1).astype(np.float32)
     keep = np.concatenate([np.flatnonzero(langs == k)[:per_language] for k in sorted(set(langs))])
@@ -117,15 +119,39 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
     family = np.array([FAMILY.get(k, k) for k in langs])
     model.families = sorted(set(family))
     model.languages = {f: sorted(set(langs[family == f])) for f in model.families}
-    if len(model.families) > 1:
-        model.family_weights = np.stack([svm(x, np.where(family == f, 1, -1)) for f in model.families])
-    for f in model.families:
-        for a, b in combinations(model.languages[f], 2):
-            rows_ab = (langs == a) | (langs == b)
-            model.pairs[a, b] = svm(x[rows_ab], np.where(langs[rows_ab] == a, 1, -1))
+    own = {f: i for i, f in enumerate(model.families)}
+    tasks = [(i, "", "") for i in own.values()] if len(own) > 1 else []
+    tasks += [(own[f], a, b) for f in model.families for a, b in combinations(model.languages[f], 2)]
+    for (f, a, b), w in _trained(labelled.sparkSession, tasks, langs, np.array([own[f] for f in family]), x):
+        if a:
+            model.pairs[a, b] = w
+        else:
+            model.family_weights = np.zeros((len(own), DIM + 1), np.float32) if model.family_weights is None else model.family_weights
+            model.family_weights[f] = w
     return model
 
 
+def _trained(spark: SparkSession, tasks: list[tuple[int, str, str]], langs: np.ndarray, family: np.ndarray, x: np.ndarray):
+    """(task, weights) of each machine: a family against the others, or one language of it against another."""
+    if not tasks:
+        return
+    shared = spark.sparkContext.broadcast((langs, family, x.astype(np.float16)))
+
+    def run(batches):
+        langs_, family_, x_ = shared.value
+        for batch in batches:
+            out = []
+            for f, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                some = (langs_ == a) | (langs_ == b) if a else np.ones(len(langs_), bool)
+                y = np.where(langs_[some] == a if a else family_ == f, 1, -1)
+                out.append(svm(x_[some].astype(np.float32), y).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*"fab", "w"])
+
+    rows = spark.createDataFrame(tasks, "f int, a string, b string").repartition(min(len(tasks), 16 + len(tasks) // 16))
+    for r in rows.mapInArrow(run, "f int, a string, b string, w binary").collect():
+        yield (r.f, r.a, r.b), np.frombuffer(r.w, np.float32)
+
+
 def classify(model: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The language of each feature row and a score: the share of the winning side at each step, multiplied."""
     n = len(x)
@@ -159,13 +185,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
     """``docs`` with ``lang_out`` and ``score_out``; columns of those names are replaced."""
     kept = [c for c in docs.columns if c not in (lang_out, score_out)]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few weight rows of DIM each
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).rlike(r"\p{L}").alias("__letter"))
+    mark = max(kept, key=len) + "_"  # a name that no column has
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).rlike(r"\p{L}").alias(mark))
     schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            letter = np.array(batch.column("__letter").fill_null(False).to_pylist(), bool)
+            letter = np.array(batch.column(mark).fill_null(False).to_pylist(), bool)
             langs, scores = np.full(len(letter), "und", object), np.zeros(len(letter))
             if m.families:
                 for i, j, data, offsets in text_slices(batch.column(text_col)):

@@ -16,20 +16,20 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document, learnt where crc32(doc_id) mod 5 is not 0."""
+    """Toxicity of every document, learnt where crc32(doc_id) mod 5 is not 0; a row without an id is neither learnt from nor held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = lambda c: F.crc32(F.col(c).cast("string")) % 5 == 0
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
     found = toxicity.scored(docs, model)
-    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select(F.col("id").alias("doc_id"), F.coalesce(held_out("id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every document, learnt where crc32(doc_id) mod 4 is not 2."""
+    """Language of every document, learnt where crc32(doc_id) mod 4 is not 2; a row without an id is neither learnt from nor held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     model = language_id.fit(docs.where(~held_out))
-    found = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    found = language_id.predict(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 

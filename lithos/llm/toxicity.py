@@ -132,25 +132,35 @@ def karlin_lambda(scores: np.ndarray, weights: np.ndarray) -> float:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score), in linear time (Ruzzo and Tompa)."""
-    out: list[list[float]] = []  # start, end, sum before, sum through
+    """All maximal scoring segments (start, end, score), in linear time (Ruzzo and Tompa).
+
+    ``held`` are those that a later one may still join: start, end, sum before, sum through, and where the nearest one with
+    a lower sum before stands. Where there is none, no later one can join them, and they are done.
+    """
+    done: list[tuple] = []
+    held: list[tuple] = []
     total = 0.0
     previous = 0
     for at in np.flatnonzero(scores > 0).tolist():
         total += float(scores[previous:at].sum())
         previous = at + 1
-        item = [at, at + 1, total, total + float(scores[at])]
-        total = item[3]
+        start, before, total = at, total, total + float(scores[at])
+        j = len(held) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= item[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= item[3]:
-                out.append(item)
+            while j >= 0 and held[j][2] >= before:
+                j = held[j][4]
+            if j < 0:
+                done += held
+                held = [(start, at + 1, before, total, -1)]
+                break
+            if held[j][3] >= total:
+                held.append((start, at + 1, before, total, j))
                 break
-            item = [out[j][0], item[1], out[j][2], item[3]]
-            del out[j:]
-    return [(int(s), int(e), r - left) for s, e, left, r in out]
+            start, before = held[j][0], held[j][2]
+            up = held[j][4]
+            del held[j:]
+            j = up
+    return [(s, e, through - before) for s, e, before, through, _ in done + held]
 
 
 def _evidence(scores: np.ndarray, m: Model, p: Params) -> tuple[float, list[tuple[int, int, float]]]:
@@ -195,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), id_col: str =
     # Positive tokens are rare in it and stand alone, so K is their rate, undone for their score, times the chance to fall back.
     tilted = (null * np.exp(np.minimum(700, model.lam * model.scores)))[positive].sum() / max(1, null.sum())
     model.k = float(min(1.0, max(1e-9, tilted * (1 - math.exp(-model.lam * p.cost)))))
-    rows = scored(docs, model, p, id_col, text_col, only=ids).toArrow()
+    rows = scored(docs, model, p, id_col, text_col, only=ids).groupBy("id").agg(F.max("evidence").alias("evidence")).toArrow()
     got = dict(zip(rows.column("id").to_pylist(), rows.column("evidence").to_pylist()))
     known = np.array([i in got for i in ids.tolist()])
     x = np.array([got[i] for i in ids[known].tolist()])

@@ -81,3 +81,14 @@ def test_one_row_of_each_group_whatever_the_ids(spark, tmp_path):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = corpus_pipeline.one_of_each_group(spark, df, str(tmp_path)).collect()
     assert sorted((r.source for r in got)) == ["d", "e", "f", "f", "g", "h"]
+
+
+def test_languages_are_filled_in_and_texts_stay_without_any(spark, tmp_path):
+    rows = [(i, t, lang if i % 3 else None) for i, t, lang in test_language_id.rows(200, seed=4)]
+    df = spark.createDataFrame([*rows, (900, "12 34", None), (901, None, "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, df, str(tmp_path)).collect()}
+    truth = {i: lang for i, _, lang in test_language_id.rows(200, seed=4)}
+    assert set(got) == set(truth) and all(got[i] == truth[i] for i in truth if i % 3)
+    assert sum(got[i] == truth[i] for i in truth) >= 0.97 * len(truth)
+    unlabelled = corpus_pipeline.known_language(spark, df.withColumn("lang", df.lang.substr(9, 9)).replace("", None, "lang"), str(tmp_path))
+    assert {r.doc_id for r in unlabelled.collect()} == set(truth)
