@@ -17,10 +17,15 @@ from lithos.session import staged, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language: without text or without a letter."""
+    """Drops documents in no language: without text or without a letter. A missing ``lang`` becomes the predicted one.
+
+    Where no document has a language there is none to predict, and those with a letter stay as they are.
+    """
     model = language_id.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
-    found = language_id.predict(docs, model, lang_out="__lang", score_out="__score")
-    return found.where("__lang != 'und'").select(*[F.col(f"`{c}`") for c in docs.columns])
+    if not model.families:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.predict(docs, model, lang_out="__lang", score_out="__score").where("__lang != 'und'")
+    return found.select(*[F.coalesce("lang", "__lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
