@@ -16,10 +16,13 @@ def join_counted(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
 
     A key with more than a ``HEAVY``-th part of the counted rows is joined by broadcast, of which
     there are fewer than ``HEAVY`` whatever the rows, so no task gets a hot key's rows. The others are merged.
+    ``discard`` of the result, when it has been used up, deletes the written counts.
     """
     counts = staged(counts, "counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") * HEAVY > total
     few = F.broadcast(counts.where(hot))
     light = rows.join(F.broadcast(counts.where(hot).select(key)), key, "left_anti")
-    return light.join(counts.where(~hot).hint("merge"), key).unionByName(rows.join(few, key))
+    out = light.join(counts.where(~hot).hint("merge"), key).unionByName(rows.join(few, key))
+    out.staged_at = counts.staged_at
+    return out
