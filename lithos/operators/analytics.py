@@ -95,3 +95,11 @@ def branch_trends(rows: DataFrame, branch: Column, topic: str, date: Column, k:
     totals = counts.groupBy("branch", topic).agg(F.sum("n").alias("__t"))
     best = top_per_group(totals, "branch", k, [F.desc("__t"), F.col(topic)]).select("branch", topic)
     return counts.join(best, ["branch", topic])
+
+
+def class_balance(rows: DataFrame, labels: list[str]) -> DataFrame:
+    """``(label, value, n, percent)``: rows with each value of each label column, and their share of those that have one, to two places."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("value")) for c in labels])).alias("x")
+    counts = rows.select(each).select("x.*").where("value is not null").groupBy("label", "value").agg(F.count("*").alias("n"))
+    # a handful of rows: one for each value of each label
+    return counts.withColumn("percent", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy("label")), 2))

@@ -31,15 +31,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     recomputing what came before.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    files, folder = _file_system(spark, path)
-    files.deleteOnExit(folder)  # when the session's JVM ends
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    files, folder = _file_system(spark, path)
+    files.deleteOnExit(folder)
+    return path
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``staged`` wrote, once nothing reads it any more."""
     path = getattr(df, "staged_at", None)
