@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lithos.plans import corpus, fixtures, models, more, relational, tables
+from lithos.plans import corpus, derived, models, more, relational, tables
 
-QUERIES = corpus.QUERIES | relational.QUERIES | models.QUERIES | more.QUERIES | fixtures.QUERIES | tables.QUERIES
-ORACLE = corpus.ORACLE | relational.ORACLE | models.ORACLE | more.ORACLE | fixtures.ORACLE | tables.ORACLE
+QUERIES = corpus.QUERIES | relational.QUERIES | models.QUERIES | more.QUERIES | derived.QUERIES | tables.QUERIES
+ORACLE = corpus.ORACLE | relational.ORACLE | models.ORACLE | more.ORACLE | derived.ORACLE | tables.ORACLE

@@ -1,4 +1,4 @@
-"""Queries over small made-up records, for rules whose cases the tables do not hold; the SQL lists the rows that must come out."""
+"""Rules whose cases the tables do not hold, over small made-up records; the SQL lists the rows that must come out."""
 
 from __future__ import annotations
 
