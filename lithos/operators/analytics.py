@@ -103,3 +103,57 @@ def class_balance(rows: DataFrame, labels: list[str]) -> DataFrame:
     counts = rows.select(each).select("x.*").where("value is not null").groupBy("label", "value").agg(F.count("*").alias("n"))
     # a handful of rows: one for each value of each label
     return counts.withColumn("percent", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy("label")), 2))
+
+
+def top_shares(rows: DataFrame, period: str, topics: str, k: int = 10) -> DataFrame:
+    """``(period, topic, n, percent, total)`` of the ``k`` topics that most rows have over all periods, the lesser name first among equals.
+
+    ``topics`` is an array, in which a repeat counts once; ``total`` counts rows of the period, with a topic or without, and a topic that a period
+    lacks has 0. The grid is of ``k`` topics and the periods. Rows without a period go.
+    """
+    rows = rows.where(F.col(period).isNotNull())
+    each = rows.select(F.col(period).alias("period"), F.explode(F.array_distinct(topics)).alias("topic")).groupBy("period", "topic").agg(F.count("*").alias("n"))
+    best = each.where("topic is not null").groupBy("topic").agg(F.sum("n").alias("__t")).orderBy(F.desc("__t"), "topic").limit(k).select("topic")
+    totals = rows.groupBy(F.col(period).alias("period")).agg(F.count("*").alias("total"))
+    grid = totals.crossJoin(best)  # k rows a period
+    out = grid.join(each, ["period", "topic"], "left").fillna(0, ["n"])
+    return out.select("period", "topic", "n", F.round(100 * F.col("n") / F.col("total"), 2).alias("percent"), "total")
+
+
+def top_by_overall(mentions: DataFrame, doc: str, group: str, kind: str, name: str, k: int = 15) -> DataFrame:
+    """``(group, kind, name, n, overall)``: documents of each group with the ``k`` names of a kind that most documents have, the lesser name first among equals.
+
+    A name counts once a document; ``overall`` counts documents of all groups, and a group without a name has 0.
+    """
+    once = mentions.select(doc, group, kind, name).distinct()
+    overall = once.select(doc, kind, name).distinct().groupBy(kind, name).agg(F.count("*").alias("overall"))
+    best = top_per_group(overall, kind, k, [F.desc("overall"), F.col(name)])
+    grid = once.select(group).distinct().crossJoin(best)  # k names a kind and group
+    counts = once.groupBy(group, kind, name).agg(F.count("*").alias("n"))
+    return grid.join(counts, [group, kind, name], "left").fillna(0, ["n"]).select(group, kind, name, "n", "overall")
+
+
+def rare_fold_by(rows: DataFrame, group: str, value: str, least: int, other: str = "Other") -> DataFrame:
+    """``(group, bucket, n)``: counts by group and value, in which values with fewer than ``least`` rows in all are ``other``."""
+    counts = rows.groupBy(group, value).agg(F.count("*").alias("n"))
+    counts = counts.withColumn("__all", F.sum("n").over(Window.partitionBy(value)))
+    return counts.groupBy(group, F.when(F.col("__all") < least, other).otherwise(F.col(value)).alias("bucket")).agg(F.sum("n").alias("n"))
+
+
+def concept_years(concepts: DataFrame, doc: str, year: str, excluded: str, placeholders: tuple[str, ...] = ("", "-", "None")) -> DataFrame:
+    """``(year, type, id, n)`` over the distinct (type, id, text) of each document; one id in two spellings counts twice.
+
+    One type is left out, as are null and placeholder ids.
+    """
+    kept = concepts.where((F.col("type") != excluded) & F.col("id").isNotNull() & ~F.col("id").isin(*placeholders))
+    once = kept.select(doc, year, "type", "id", "text").distinct()
+    return once.groupBy(F.col(year).alias("year"), "type", "id").agg(F.count("*").alias("n"))
+
+
+def top_changes(rows: DataFrame, key: str, before: Column, after: Column, k: int = 8) -> DataFrame:
+    """``(key, before, after, change)``: of each key its percentage of the rows of two periods, and the ``k`` largest rises, the lesser key first among equals."""
+    counts = rows.groupBy(key).agg(F.count_if(before).alias("b"), F.count_if(after).alias("a"))
+    totals = rows.agg(F.count_if(before).alias("__b"), F.count_if(after).alias("__a"))
+    share = lambda n, of: F.round(100 * F.coalesce(F.try_divide(n, of), F.lit(0.0)), 6)
+    out = counts.crossJoin(totals).select(key, share("b", "__b").alias("before"), share("a", "__a").alias("after"))  # totals are one row
+    return out.withColumn("change", F.round(F.col("after") - F.col("before"), 6)).orderBy(F.desc("change"), key).limit(k)

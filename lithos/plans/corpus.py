@@ -101,17 +101,21 @@ def collapse_commas(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("text"))
 
 
-@query(f"""WITH {D}, c AS (SELECT doc_id, lang, {TITLE} AS title, {ABSTRACT} AS abstract, {unpunctuated('lower(text)')} AS key, length(text) AS n FROM d),
-s AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, doc_id DESC) AS r FROM c)
-SELECT lang, count(*) AS n_docs, count(*) FILTER (r = 1) AS n_survivors FROM s GROUP BY lang""")
+@query(f"""WITH {D}, c AS (SELECT doc_id, lang, {TITLE} AS title, {ABSTRACT} AS abstract FROM d),
+k AS (SELECT *, {unpunctuated("lower(title || ' ' || abstract)")} AS key, length(title) + length(abstract) AS n FROM c),
+s AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, doc_id DESC) AS r FROM k)
+SELECT lang, count(*) AS n_docs, count(*) FILTER (r = 1) AS n_survivors, count(*) FILTER (r = 1 AND abstract = '') AS n_without_abstract FROM s GROUP BY lang""")
 def flagship(spark, d):
-    """Clean, group equal texts, keep the longest and latest of each, count by language."""
-    rows = docs(spark, d).select("doc_id", "lang", tx.strip_punctuation(F.lower("text")).alias("text"), F.length("text").alias("n"))
-    keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("k1"), F.md5("text").alias("k2"), "n")
-    best = keyed.groupBy("k1", "k2").agg(F.max(F.struct("n", "doc_id", "lang")).alias("s"), F.count("*").alias("size"))
-    kept = best.groupBy(F.col("s.lang").alias("lang")).agg(F.count("*").alias("n_survivors"))
-    total = rows.groupBy("lang").agg(F.count("*").alias("n_docs"))
-    return total.join(kept, "lang", "left").select("lang", "n_docs", F.coalesce("n_survivors", F.lit(0)).alias("n_survivors"))
+    """Clean titles and abstracts, group equal ones, keep the longest and latest of each, count by language."""
+    rows = docs(spark, d).select("doc_id", "lang", tx.clean_title(F.col("title")).alias("title"), tx.clean_abstract(F.col("abstract")).alias("abstract"))
+    text = tx.strip_punctuation(F.lower(F.concat_ws(" ", "title", "abstract")))
+    size = (F.length("title") + F.length("abstract")).alias("n")
+    keyed = rows.select("doc_id", "lang", F.sha2(text, 256).alias("key"), size, (F.col("abstract") == "").alias("bare"))
+    best = keyed.groupBy("key").agg(F.max(F.struct("n", "doc_id", "lang", "bare")).alias("s"))
+    kept = best.select(F.col("s.lang").alias("lang"), F.lit(0).alias("docs"), F.lit(1).alias("survivors"), F.col("s.bare").cast("int").alias("bare"))
+    every = table(spark, d, "documents").select("lang", F.lit(1).alias("docs"), F.lit(0).alias("survivors"), F.lit(0).alias("bare"))
+    sums = [F.sum(x).alias(y) for x, y in (("docs", "n_docs"), ("survivors", "n_survivors"), ("bare", "n_without_abstract"))]
+    return kept.unionByName(every).groupBy("lang").agg(*sums)
 
 
 @query("""SELECT doc_id FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 OR toxic = 1) l USING (doc_id)

@@ -72,8 +72,10 @@ def incremental_equals_batch(spark, d):
 
 
 def page_meta(spark, d):
-    """Named metadata of every page."""
-    rows = table(spark, d, "pages").select("page_id", readers.page_metadata("html").alias("meta"))
+    """Named metadata of every page, with tags and spans put after it."""
+    i = F.col("page_id").cast("string")
+    more = F.concat(F.lit('<meta name="citation_title" content="T'), i, F.lit('"><meta name="robots" content="x"><span class="a primary-heading">H <b>'), i, F.lit('</b></span><span data-attribute="kind" data-value="v'), i, F.lit('"></span>'))
+    rows = table(spark, d, "pages").select("page_id", readers.page_metadata(F.concat("html", more)).alias("meta"))
     return rows.select("page_id", F.to_json("meta").alias("meta"))
 
 
@@ -94,6 +96,7 @@ QUERIES = {
     f.__name__: f for f in (tfidf_lr, tfidf_svd_lr, active_picks, variants_in_documents, incremental_equals_batch, page_meta, star_facts)
 }
 ORACLE = {
+    "page_meta": """SELECT page_id, '{"citation_title":["T' || page_id || '"],"kind":["v' || page_id || '"],"primary-heading":["H ' || page_id || '"]}' AS meta FROM pages""",
     "variants_in_documents": f"WITH {_PLANTED} SELECT doc_id, s AS first, s + length(text) AS past, text, normalized FROM f",
     "incremental_equals_batch": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "star_facts": f"WITH {_E} SELECT DISTINCT o AS document_id, CAST(entity_id AS INTEGER) AS entity_id FROM e JOIN q USING (type, name) WHERE o IN (SELECT o FROM e WHERE type = 'Virus')",

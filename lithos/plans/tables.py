@@ -160,3 +160,54 @@ UNION ALL SELECT 'toxic', toxic, count(*), round(100.0 * count(*) / sum(count(*)
 def class_balance(spark, d):
     """How many rows, and what percentage, have each value of each label."""
     return analytics.class_balance(table(spark, d, "labels"), ["quality", "toxic"])
+
+
+_TOPICS = "x AS (SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, [event_type, 'u' || (user_id % 20), event_type] AS topics FROM events)"
+
+
+@query(f"""WITH {_TOPICS}, e AS (SELECT day, topic, count(*) AS n FROM (SELECT DISTINCT event_id, day, unnest(topics) AS topic FROM x) GROUP BY 1, 2),
+b AS (SELECT topic FROM e GROUP BY topic ORDER BY sum(n) DESC, topic LIMIT 10), t AS (SELECT day, count(*) AS total FROM x GROUP BY 1)
+SELECT t.day AS period, b.topic, coalesce(n, 0) AS n, round(100 * coalesce(n, 0) / total, 2) AS percent, total FROM t CROSS JOIN b LEFT JOIN e ON e.day = t.day AND e.topic = b.topic""")
+def top_topic_shares(spark, d):
+    """Each day's share of the ten topics that are most frequent over all days, zero filled."""
+    day = F.to_date("ts").cast("string").alias("day")
+    rows = table(spark, d, "events").select(day, F.array(F.col("event_type"), F.concat(F.lit("u"), F.col("user_id") % 20), F.col("event_type")).alias("topics"))
+    return analytics.top_shares(rows, "day", "topics")
+
+
+@query("""WITH m AS (SELECT DISTINCT * FROM (SELECT doc_id, lang AS virus, 'source' AS type, source AS name FROM documents UNION ALL SELECT doc_id, lang, 'size', CAST(length(text) % 30 AS VARCHAR) FROM documents)),
+o AS (SELECT type, name, count(DISTINCT doc_id) AS overall FROM m GROUP BY 1, 2), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY overall DESC, name) AS r FROM o) WHERE r <= 15),
+c AS (SELECT virus, type, name, count(*) AS n FROM m GROUP BY 1, 2, 3)
+SELECT v.virus, b.type, b.name, coalesce(n, 0) AS n, overall FROM (SELECT DISTINCT virus FROM m) v CROSS JOIN b LEFT JOIN c ON c.virus = v.virus AND c.type = b.type AND c.name = b.name""")
+def top_by_overall(spark, d):
+    """For each language, documents with the fifteen names of a kind that most documents have."""
+    one = lambda kind, name: F.struct(F.lit(kind).alias("type"), name.cast("string").alias("name"))
+    rows = table(spark, d, "documents").select("doc_id", F.col("lang").alias("virus"), F.inline(F.array(one("source", F.col("source")), one("size", F.length("text") % 30))))
+    return analytics.top_by_overall(rows, "doc_id", "virus", "type", "name")
+
+
+@query("""WITH a AS (SELECT CAST(user_id % 40 AS VARCHAR) AS k, count(*) AS n FROM events WHERE value > 60 GROUP BY 1)
+SELECT event_type, CASE WHEN a.n < 30 THEN 'Other' ELSE k END AS bucket, count(*) AS n FROM events JOIN a ON k = CAST(user_id % 40 AS VARCHAR) WHERE value > 60 GROUP BY 1, 2""")
+def rare_fold_by_type(spark, d):
+    """Counts by type and user class, in which classes that are rare over all types are one."""
+    rows = table(spark, d, "events").where("value > 60").select("event_type", (F.col("user_id") % 40).cast("string").alias("k"))
+    return analytics.rare_fold_by(rows, "event_type", "k", 30)
+
+
+@query("""WITH x AS (SELECT DISTINCT user_id, CAST(month(ts) * 100 + day(ts) AS BIGINT) AS year, event_type AS type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id % 2 AS s FROM events),
+y AS (SELECT DISTINCT user_id, year, type, CASE WHEN k % 20 = 0 THEN '-' ELSE 'C' || (k % 20) END AS id, (k % 20) * 2 + s AS text FROM x WHERE type <> 'error')
+SELECT year, type, id, count(*) AS n FROM y WHERE id <> '-' GROUP BY 1, 2, 3""")
+def concept_counts(spark, d):
+    """Concepts by day over the distinct ones of each user, in each spelling; errors and placeholder ids are none."""
+    k = F.variant_get(F.parse_json("props"), "$.k", "long") % 20
+    rows = table(spark, d, "events").select("user_id", (F.month("ts") * 100 + F.day("ts")).cast("long").alias("year"), F.col("event_type").alias("type"), F.when(k == 0, "-").otherwise(F.concat(F.lit("C"), k)).alias("id"), (k * 2 + F.col("event_id") % 2).alias("text"))
+    return analytics.concept_years(rows, "user_id", "year", "error")
+
+
+@query("""WITH x AS (SELECT user_id % 40 AS k, day(ts) < 15 AS b FROM events), t AS (SELECT count(*) FILTER (b) AS tb, count(*) FILTER (NOT b) AS ta FROM x),
+p AS (SELECT k, round(100.0 * count(*) FILTER (b) / tb, 6) AS before, round(100.0 * count(*) FILTER (NOT b) / ta, 6) AS after FROM x, t GROUP BY k, tb, ta)
+SELECT k, before, after, round(after - before, 6) AS change FROM p ORDER BY change DESC, k LIMIT 8""")
+def top_changes(spark, d):
+    """The eight user classes whose share of the events rose most from the first half of the month to the second."""
+    early = F.day("ts") < 15
+    return analytics.top_changes(table(spark, d, "events").withColumn("k", F.col("user_id") % 40), "k", early, ~early)

@@ -90,30 +90,49 @@ def unescape(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else html.unescape(t))
 
 
+# Names of tags that say nothing about a paper, and classes of spans whose text is metadata.
+NOISE = frozenset((
+    "status_code", "url_history", "resolved_url", "robots", "viewport", "referrer", "google-site-verification", "sessionEvt-audSegment", "sessionEvt-freeCntry", "sessionEvt-idGUID",
+    "sessionEvt-individual", "sessionEvt-instId", "sessionEvt-instProdCode", "sessionEvt-nejmSource", "sessionEvt-offers", "sessionEvt-prodCode", "evt-ageContent", "evt-artView", "format-detection",
+))
+SPAN_CLASSES = ("article-header__journal", "primary-heading", "highwire-article-collection-term")
+
+
 class _Meta(HTMLParser):
-    CLASSES = ("article-header__journal", "primary-heading", "article-type")
+    """Metadata tags, spans with data attributes, and all the text of spans of some classes, nested elements too."""
 
     def __init__(self):
         super().__init__()
         self.found: dict[str, set[str]] = {}
-        self.span: str | None = None
+        self.spans: list[tuple[list[str], list[str]]] = []  # the open ones: their classes, and their text so far
+
+    def _add(self, name: str, value: str) -> None:
+        if name not in NOISE:
+            self.found.setdefault(name, set()).add(value)
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
-        if tag == "meta" and a.get("name") and a.get("content"):
-            self.found.setdefault(a["name"], set()).add(a["content"].strip())
+        if tag == "meta" and a.get("name") is not None and a.get("content") is not None:
+            self._add(a["name"], a["content"])
         if tag == "span":
-            if a.get("data-attribute") and a.get("data-value"):
-                self.found.setdefault(a["data-attribute"], set()).add(a["data-value"].strip())
-            self.span = next((c for c in self.CLASSES if c in (a.get("class") or "").split()), None)
+            if a.get("data-attribute") is not None and a.get("data-value") is not None:
+                self._add(a["data-attribute"], a["data-value"])
+            self.spans.append(([c for c in SPAN_CLASSES if c in (a.get("class") or "").split()], []))
 
     def handle_endtag(self, tag):
-        if tag == "span":
-            self.span = None
+        if tag == "span" and self.spans:
+            for name in self.spans[-1][0]:
+                self._add(name, "".join(self.spans[-1][1]))
+            self.spans.pop()
 
     def handle_data(self, data):
-        if self.span and data.strip():
-            self.found.setdefault(self.span, set()).add(data.strip())
+        for _, text in self.spans:
+            text.append(data)
+
+    def close(self):
+        super().close()
+        while self.spans:  # those that are never closed reach to the end
+            self.handle_endtag("span")
 
 
 @F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.StringType())))
@@ -123,6 +142,7 @@ def page_metadata(pages: pd.Series) -> pd.Series:
     def one(page):
         parser = _Meta()
         parser.feed(page or "")
+        parser.close()
         return {k: sorted(v) for k, v in sorted(parser.found.items())}
 
     return pages.map(one)
