@@ -129,8 +129,8 @@ def top_by_overall(mentions: DataFrame, doc: str, group: str, kind: str, name: s
     overall = once.select(doc, kind, name).distinct().groupBy(kind, name).agg(F.count("*").alias("overall"))
     best = top_per_group(overall, kind, k, [F.desc("overall"), F.col(name)])
     grid = once.select(group).distinct().crossJoin(best)  # k names a kind and group
-    counts = once.groupBy(group, kind, name).agg(F.count("*").alias("n"))
-    return grid.join(counts, [group, kind, name], "left").fillna(0, ["n"]).select(group, kind, name, "n", "overall")
+    counts = once.groupBy(group, kind, name).agg(F.count("*").alias("__n"))
+    return grid.join(counts, [group, kind, name], "left").select(group, kind, name, F.coalesce("__n", F.lit(0)).alias("n"), "overall")
 
 
 def rare_fold_by(rows: DataFrame, group: str, value: str, least: int, other: str = "Other") -> DataFrame:

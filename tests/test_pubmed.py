@@ -1,6 +1,6 @@
 import gzip
 
-from lithos.plans import fixtures
+from tests import fixture_cases as fixtures
 from lithos.sources import pubmed
 
 
