@@ -209,3 +209,8 @@ def greedy(train: DataFrame, pool: DataFrame, candidates: DataFrame, rounds: int
         added.append((np.append(points[i], 1.0), answer))
         x, y = np.vstack([x, points[i]]), np.append(y, answer)
     return picked
+
+
+def challenge(docs: DataFrame, score: str, least: float, labels: str) -> DataFrame:
+    """Documents with a score above ``least`` that nobody has labelled: what a model should be able to decide."""
+    return docs.where((F.col(score) > least) & (F.coalesce(F.size(labels), F.lit(0)) <= 0))

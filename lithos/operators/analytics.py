@@ -157,3 +157,12 @@ def top_changes(rows: DataFrame, key: str, before: Column, after: Column, k: int
     share = lambda n, of: F.round(100 * F.coalesce(F.try_divide(n, of), F.lit(0.0)), 6)
     out = counts.crossJoin(totals).select(key, share("b", "__b").alias("before"), share("a", "__a").alias("after"))  # totals are one row
     return out.withColumn("change", F.round(F.col("after") - F.col("before"), 6)).orderBy(F.desc("change"), key).limit(k)
+
+
+def filled(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, n, total)``: rows in which a column is not null, and not empty if it is an array, of how many."""
+    kinds = dict(rows.dtypes)
+    some = lambda c: F.col(c).isNotNull() & ((F.size(c) > 0) if kinds[c].startswith("array") else F.lit(True))
+    counts = rows.agg(F.count("*").alias("total"), *[F.count_if(some(c)).alias(f"__{i}") for i, c in enumerate(columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("n"), F.col("total").alias("total")) for i, c in enumerate(columns)])
+    return counts.select(F.inline(each))

@@ -60,3 +60,27 @@ def response(text: Column, fields: dict[str, str]) -> Column:
     v = F.when(F.trim(text) != "Not Found", F.try_parse_json(text))
     read = [F.try_variant_get(v, f"$.{name}", kind).alias(name) for name, kind in fields.items()]
     return F.struct(F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("ok"), *read)
+
+
+# Fixed patterns: the address of an attention badge, and a point as longitude and latitude.
+BADGE = r"^https://badges.altmetric.com/\?size=\d+&score=\d+&types=(\w+)$"
+POINT = r"^Point\(([-+]?[0-9]*\.?[0-9]+) ([-+]?[0-9]*\.?[0-9]+)\)"
+
+
+def attention(response: Column) -> Column:
+    """A struct of the columns that a release holds of an attention record; the score of a week is that of a day, as its users expect.
+
+    ``response`` has ``altmetric_id``, ``score``, ``history`` (a map), ``is_oa`` and ``images.large``, whose address names the badge; another address raises.
+    """
+    url = response["images"]["large"]
+    fault = F.raise_error(F.concat(F.lit("not a badge: "), F.coalesce(url, F.lit("null")))).cast("string")
+    kind = F.when(url.rlike(BADGE), F.regexp_extract(url, BADGE, 1)).otherwise(fault)
+    day = response["history"]["1d"]
+    parts = {"altmetric_id": response["altmetric_id"], "score": response["score"], "score_1day": day, "score_1week": day, "openaccess": response["is_oa"], "badgetype": kind}
+    return F.when(response.isNotNull(), F.struct(*[v.alias(k) for k, v in parts.items()]))
+
+
+def coordinates(point: Column) -> Column:
+    """A struct (longitude, latitude) of "Point(lon lat)"; null for anything else."""
+    part = lambda n: F.regexp_extract(point, POINT, n).try_cast("double")
+    return F.when(point.rlike(POINT), F.struct(part(1).alias("longitude"), part(2).alias("latitude")))

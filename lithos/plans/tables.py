@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lithos.operators import analytics, entities, fixes, sample
+from lithos.operators import active, analytics, entities, fixes, joins, sample
 from lithos.session import scratch, table
 from lithos.sources import records
 from lithos.streaming import upserts
@@ -211,3 +211,43 @@ def top_changes(spark, d):
     """The eight user classes whose share of the events rose most from the first half of the month to the second."""
     early = F.day("ts") < 15
     return analytics.top_changes(table(spark, d, "events").withColumn("k", F.col("user_id") % 40), "k", early, ~early)
+
+
+@query("""SELECT doc_id, doc_id * 3 AS altmetric_id, CAST(length(text) AS DOUBLE) AS score, CAST(doc_id % 9 AS DOUBLE) AS score_1day, CAST(doc_id % 9 AS DOUBLE) AS score_1week, lang = 'en' AS openaccess, source AS badgetype FROM documents WHERE doc_id % 2 = 0""")
+def attention_columns(spark, d):
+    """What a release holds of attention records, of every other document's."""
+    i = F.col("doc_id")
+    badge = F.concat(F.lit("https://badges.altmetric.com/?size=320&score="), i, F.lit("&types="), "source")
+    record = F.struct(
+        (i * 3).alias("altmetric_id"), F.length("text").cast("double").alias("score"), F.create_map(F.lit("1d"), (i % 9).cast("double"), F.lit("1w"), F.lit(99.0)).alias("history"),
+        (F.col("lang") == "en").alias("is_oa"), F.struct(badge.alias("large")).alias("images"),
+    )
+    rows = table(spark, d, "documents").select("doc_id", F.when(i % 2 == 0, record).alias("r"))
+    return rows.select("doc_id", entities.attention(F.col("r")).alias("a")).where("a is not null").select("doc_id", "a.*")
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_suppkey + 0.5 AS DOUBLE) END AS longitude, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(-s_nationkey AS DOUBLE) END AS latitude FROM supplier""")
+def point_coordinates(spark, d):
+    """Longitude and latitude of points as text; of every fourth supplier the text is none."""
+    k = F.col("s_suppkey")
+    text = F.when(k % 4 == 0, "unknown").otherwise(F.concat(F.lit("Point("), k, F.lit(".5 -"), "s_nationkey", F.lit(")")))
+    found = table(spark, d, "supplier").select("s_suppkey", entities.coordinates(text).alias("p"))
+    return found.select("s_suppkey", "p.longitude", "p.latitude")
+
+
+@query("SELECT doc_id FROM documents WHERE n_chars > 2000 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def challenge_set(spark, d):
+    """Long documents without a label, as those of much attention that a model should decide."""
+    named = table(spark, d, "labels").select("doc_id", F.lit("labelled").alias("label"))
+    rows = joins.label_join(table(spark, d, "documents").select("doc_id", "n_chars"), ["doc_id"], named, "doc_id", "label", "doc_id")
+    return active.challenge(rows, "n_chars", 2000, "labels").select("doc_id")
+
+
+@query("""SELECT 'labels' AS "column", count(DISTINCT l.doc_id) AS n, count(DISTINCT d.doc_id) AS total FROM documents d LEFT JOIN labels l USING (doc_id)
+UNION ALL SELECT 'lang', count(*) FILTER (lang <> 'de'), count(*) FROM documents""")
+def filled_columns(spark, d):
+    """How many documents have a label in their array, and how many a language that counts."""
+    named = table(spark, d, "labels").select("doc_id", F.lit("labelled").alias("label"))
+    rows = table(spark, d, "documents").select("doc_id", F.nullif("lang", F.lit("de")).alias("lang"))
+    rows = joins.label_join(rows, ["doc_id"], named, "doc_id", "label", "doc_id")
+    return analytics.filled(rows, ["labels", "lang"])

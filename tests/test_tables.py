@@ -188,3 +188,23 @@ def test_class_balance(spark):
     df = spark.createDataFrame([(1, 0), (1, 1), (0, None), (1, 1)], "a int, b int")
     assert rows_of(analytics.class_balance(df, ["a", "b"])) == [("a", 0, 1, 25.0), ("a", 1, 3, 75.0), ("b", 0, 1, 33.33), ("b", 1, 2, 66.67)]
     assert analytics.class_balance(df.limit(0), ["a"]).count() == 0
+
+
+def test_attention_records_and_points(spark):
+    good = "https://badges.altmetric.com/?size=64&score=3&types=abc"
+    ddl = "r struct<altmetric_id: long, score: double, history: map<string,double>, is_oa: boolean, images: struct<large: string>>"
+    df = spark.createDataFrame([((7, 1.5, {"1d": 2.0, "1w": 9.0}, True, (good,)),), (None,)], ddl)
+    assert [tuple(r.a) if r.a else None for r in df.select(entities.attention(F.col("r")).alias("a")).collect()] == [(7, 1.5, 2.0, 2.0, True, "abc"), None]
+    with pytest.raises(Exception, match="not a badge"):
+        spark.createDataFrame([((7, 1.5, None, True, (good + "&x=1",)),)], ddl).select(entities.attention(F.col("r")).alias("a")).collect()
+    df = spark.createDataFrame([("Point(-1.5 +48)",), ("Point(1 2 3)",), ("point(1 2)",), (None,), ("Point(.5 -0.25)x",)], "p string")
+    assert [r[0] and tuple(r[0]) for r in df.select(entities.coordinates(F.col("p"))).collect()] == [(-1.5, 48.0), None, None, None, (0.5, -0.25)]
+
+
+def test_challenge_and_filled(spark):
+    df = spark.createDataFrame([(1, 9.0, ["a"]), (2, 9.0, []), (3, 9.0, None), (4, 1.0, None), (5, None, None)], "i int, s double, l array<string>")
+    from lithos.operators import active
+
+    assert [r.i for r in active.challenge(df, "s", 5, "l").collect()] == [2, 3]
+    assert rows_of(analytics.filled(df, ["l", "s"])) == [("l", 1, 5), ("s", 4, 5)]
+    assert rows_of(analytics.filled(df.limit(0), ["l"])) == [("l", 0, 0)]
