@@ -226,11 +226,11 @@ def attention_columns(spark, d):
     return rows.select("doc_id", entities.attention(F.col("r")).alias("a")).where("a is not null").select("doc_id", "a.*")
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_suppkey + 0.5 AS DOUBLE) END AS longitude, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(-s_nationkey AS DOUBLE) END AS latitude FROM supplier""")
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_suppkey + 0.5 AS DOUBLE) END AS longitude, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS latitude FROM supplier""")
 def point_coordinates(spark, d):
     """Longitude and latitude of points as text; of every fourth supplier the text is none."""
     k = F.col("s_suppkey")
-    text = F.when(k % 4 == 0, "unknown").otherwise(F.concat(F.lit("Point("), k, F.lit(".5 -"), "s_nationkey", F.lit(")")))
+    text = F.when(k % 4 == 0, "unknown").otherwise(F.concat(F.lit("Point("), k, F.lit(".5 "), "s_nationkey", F.lit(")")))
     found = table(spark, d, "supplier").select("s_suppkey", entities.coordinates(text).alias("p"))
     return found.select("s_suppkey", "p.longitude", "p.latitude")
 
