@@ -191,7 +191,7 @@ def formatted(rows: DataFrame, template: Template = Template(), costs: Costs = C
                     close(True)
                 now = conv
                 visitor.turn(role, [{"text": said}] if parts is None else [p or {} for p in parts])
-                if size >= 1 << 22:
+                if size >= 1 << 22 or len(done) >= 5000:
                     yield _batch(done)
                     done, size = [], 0
         if visitor.turns:
