@@ -1,9 +1,16 @@
+import os
+import random
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 
+from lithos.operators import ml
 from lithos.operators.svd import TruncatedSVD, product, sparse
+from lithos.plans.corpus import docs
+
+DATA = "/root/testdata/sf0.001"
 
 
 def matrix(n=300, v=60, seed=1):
@@ -46,3 +53,31 @@ def test_small_null_and_empty_tables(spark):
     assert sum(r.svd is None for r in model.transform(df, "svd").collect()) == 3
     none = TruncatedSVD(5).fit(df.limit(0))
     assert len(none.values) == 0 and none.transform(df.limit(0), "svd").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_values_on_the_features_of_documents(spark):
+    rows = docs(spark, DATA).select("doc_id", "title", "abstract")
+    ready = ml.vectoriser(["title", "abstract"], features=256).fit(rows).transform(rows).select("features")
+    dense = np.array([r.features.toArray() for r in ready.collect()])
+    model = TruncatedSVD(8).fit(ready)
+    assert np.abs(model.values / np.linalg.svd(dense, compute_uv=False)[:8] - 1).max() < 0.01
+
+
+def test_classifiers_beat_the_majority_on_held_out_rows(spark):
+    rnd = random.Random(2)
+    rows = []
+    for i in range(300):
+        y = int(rnd.random() < 0.35)
+        words = rnd.choices([f"w{k}" for k in range(80)], k=30) + rnd.choices([f"{'good' if y else 'poor'}{k}" for k in range(6)], k=2)
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words), y))
+    df = spark.createDataFrame(rows, "id long, t string, y int")
+    train, test = df.where("id < 220"), df.where("id >= 220")
+    for svd in (None, 24):
+        features, models = ml.fit_labels(train, ["y"], ["t"], features=512, svd=svd)
+        got = ml.predict_labels(test, features, models).collect()
+        hit = sum(r.y == 1 and r.y_score > 0.5 for r in got)
+        f1 = 2 * hit / max(1, sum(r.y_score > 0.5 for r in got) + sum(r.y for r in got))
+        share = sum(r.y for r in got) / len(got)
+        assert f1 > 2 * share / (1 + share) + 0.1, svd  # all of the class that is asked for
