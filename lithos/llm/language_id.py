@@ -113,9 +113,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
 
     table = drawn.mapInArrow(rows_of, "lang string, at long, x binary").dropDuplicates(["lang", "at"]).toArrow().sort_by([("lang", "ascending"), ("at", "ascending")])
     langs = np.array(table.column("lang").to_pylist())
-    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float16).reshape(len(langs), DIM + 1).astype(np.float32)
     keep = np.concatenate([np.flatnonzero(langs == k)[:per_language] for k in sorted(set(langs))])
-    langs, x = langs[keep], x[keep]
+    langs, x = langs[keep], table.column("x").take(pa.array(keep))
     family = np.array([FAMILY.get(k, k) for k in langs])
     model.families = sorted(set(family))
     model.languages = {f: sorted(set(langs[family == f])) for f in model.families}
@@ -131,14 +130,15 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
     return model
 
 
-def _trained(spark: SparkSession, tasks: list[tuple[int, str, str]], langs: np.ndarray, family: np.ndarray, x: np.ndarray):
-    """(task, weights) of each machine: a family against the others, or one language of it against another."""
+def _trained(spark: SparkSession, tasks: list[tuple[int, str, str]], langs: np.ndarray, family: np.ndarray, x: pa.ChunkedArray):
+    """(task, weights) of each machine: a family against the others, or one language of it against another; ``x`` are feature rows of half floats."""
     if not tasks:
         return
-    shared = spark.sparkContext.broadcast((langs, family, x.astype(np.float16)))
+    shared = spark.sparkContext.broadcast((langs, family, b"".join(v.as_buffer() for v in x)))
 
     def run(batches):
-        langs_, family_, x_ = shared.value
+        langs_, family_, rows_ = shared.value
+        x_ = np.frombuffer(rows_, np.float16).reshape(len(langs_), DIM + 1)
         for batch in batches:
             out = []
             for f, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -148,7 +148,9 @@ def _trained(spark: SparkSession, tasks: list[tuple[int, str, str]], langs: np.n
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*"fab", "w"])
 
     rows = spark.createDataFrame(tasks, "f int, a string, b string").repartition(min(len(tasks), 16 + len(tasks) // 16))
-    for r in rows.mapInArrow(run, "f int, a string, b string, w binary").collect():
+    found = rows.mapInArrow(run, "f int, a string, b string, w binary").collect()
+    shared.destroy()
+    for r in found:
         yield (r.f, r.a, r.b), np.frombuffer(r.w, np.float32)
 
 
