@@ -207,6 +207,15 @@ def unambiguous(hits: DataFrame, id_col: str = "doc_id", candidate: str = "id")
     return hits.join(one, [id_col, "pos", "n"], "left_semi")
 
 
+def sole_aliases(lookup: DataFrame, candidate: str = "id") -> DataFrame:
+    """``(alias)`` of a lookup that have exactly one candidate, no id counting as one.
+
+    A place's tokens are its alias, so the hits of these are those at places with one candidate; asked of
+    the dictionary before the texts are read, it takes no shuffle of hits.
+    """
+    return lookup.select("alias", candidate).distinct().groupBy("alias").agg(F.count("*").alias("__c")).where("__c = 1").select("alias")
+
+
 def sections(hits: DataFrame, title_length: str) -> DataFrame:
     """Hits over title + line break + abstract, as ``section`` and offsets inside it."""
     inside = F.col("end") <= F.col(title_length)

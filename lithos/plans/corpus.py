@@ -319,8 +319,8 @@ def ambiguity_drop(spark, d):
     items = table(spark, d, "benchmark").select((F.col("item_id") % 7).alias("id"), F.explode(F.array_distinct(_tokens(F.col("text")))).alias("alias"))
     lookup = items.join(_terms(spark, d), "alias").select("alias", "id").distinct()
     rows = table(spark, d, "documents").select("doc_id", _tokens(F.col("text")).alias("w"))
-    hits = mentions.mentions(rows, "w", lookup)
-    return mentions.unambiguous(hits).select("doc_id", F.col("pos").cast("long").alias("pos"), "alias")
+    hits = mentions.mentions(rows, "w", mentions.sole_aliases(lookup))
+    return hits.select("doc_id", F.col("pos").cast("long").alias("pos"), "alias")
 
 
 @query(f"""WITH {D}, h AS (SELECT doc_id, length(title) AS t, strpos(text, 'the') - 1 AS s FROM d WHERE strpos(text, 'the') > 0)
