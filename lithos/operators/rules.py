@@ -19,24 +19,33 @@ STOPWORDS = {
 
 
 def is_trial(abstract: Column) -> Column:
-    return F.lower(abstract).rlike(TRIAL)
+    low = F.lower(abstract)
+    return (low.contains("ctr") | low.contains("nct")) & low.rlike(TRIAL)  # few texts hold either, and the pattern is slow
 
 
-def rule_categories(base: Column, title: Column, abstract: Column, journal: Column) -> Column:
-    """Sorted distinct categories: trial, weekly report and chapter rules, and Research by default."""
-    empty = F.array().cast("array<string>")
-    more = lambda test, name: F.when(test, F.array(F.lit(name))).otherwise(empty)
-    found = F.concat(
-        F.coalesce(base, empty),
+def said_categories(title: Column, abstract: Column, journal: Column) -> Column:
+    """Categories by the trial, weekly report and chapter rules."""
+    more = lambda test, name: F.when(test, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
+    return F.concat(
         more(is_trial(abstract), "Clinical Trials"),
         more(journal == WEEKLY_REPORT, "CDC Weekly Report"),
         more(title.rlike(r"(?i)Chapter [0-9]"), "Book chapter"),
     )
+
+
+def with_said(base: Column, said: Column) -> Column:
+    """Sorted distinct categories: those of ``base`` and ``said``, and Research by default."""
+    found = F.concat(F.coalesce(base, F.array().cast("array<string>")), said)
     found = F.when(F.array_contains(found, "Meta-analysis"), F.array_remove(found, "Review")).otherwise(found)
     other = F.arrays_overlap(found, F.array(*[F.lit(x) for x in NON_RESEARCH]))
     return F.array_sort(F.array_distinct(F.when(other, found).otherwise(F.array_append(found, F.lit("Research")))))
 
 
+def rule_categories(base: Column, title: Column, abstract: Column, journal: Column) -> Column:
+    """Sorted distinct categories: trial, weekly report and chapter rules, and Research by default."""
+    return with_said(base, said_categories(title, abstract, journal))
+
+
 def article_types(categories: Column) -> Column:
     return F.filter(categories, lambda c: c.isin(*ARTICLE_TYPES))
 

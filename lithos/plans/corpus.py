@@ -380,9 +380,11 @@ k AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(list_intersect(b, [{l
 
 def _categories(spark, d):
     labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    rows = docs(spark, d).join(labels, "doc_id")
+    # The texts are read for their rules before the join, so that they are not shuffled.
+    said = docs(spark, d).select("doc_id", rules.said_categories(F.col("title"), F.col("abstract"), F.col("source")).alias("said"))
+    rows = said.join(labels, "doc_id")
     base = F.concat(F.when(F.col("quality") == 1, F.array(F.lit("Review"))).otherwise(F.array(F.lit("Prognosis"))), F.when(F.col("toxic") == 1, F.array(F.lit("Meta-analysis"), F.lit("Screening"))).otherwise(F.array().cast("array<string>")))
-    return rows.select("doc_id", base.alias("before"), rules.rule_categories(base, F.col("title"), F.col("abstract"), F.col("source")).alias("k"))
+    return rows.select("doc_id", base.alias("before"), rules.with_said(base, F.col("said")).alias("k"))
 
 
 @query(f"WITH {D}, {_CATS} SELECT doc_id, array_to_string(k, ',') AS categories FROM k")
@@ -407,11 +409,9 @@ b AS (SELECT category, sum(n) AS n FROM (SELECT CASE WHEN quality = 1 THEN 'Revi
  UNION ALL SELECT unnest(['Meta-analysis', 'Screening']), 1 FROM (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) JOIN documents USING (doc_id) WHERE toxic = 1) GROUP BY 1)
 SELECT category, CAST(a.n - coalesce(b.n, 0) AS BIGINT) AS diff FROM a LEFT JOIN b USING (category) WHERE a.n > coalesce(b.n, 0)""")
 def multiset_diff(spark, d):
-    rows = _categories(spark, d)
-    count = lambda c: rows.select(F.explode(c).alias("category")).groupBy("category")
-    after, before = count("k").agg(F.count("*").alias("a")), count("before").agg(F.count("*").alias("b"))
-    diff = F.col("a") - F.coalesce("b", F.lit(0))
-    return after.join(before, "category", "left").select("category", diff.alias("diff")).where("diff > 0")
+    one = lambda column, a, b: F.transform(column, lambda x: F.struct(x.alias("category"), F.lit(a).alias("a"), F.lit(b).alias("b")))
+    rows = _categories(spark, d).select(F.inline(F.concat(one("k", 1, 0), one("before", 0, 1))))
+    return rows.groupBy("category").agg(F.sum(F.col("a") - F.col("b")).alias("diff"), F.sum("a").alias("a")).where("a > 0 and diff > 0").select("category", "diff")
 
 
 @query("SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 50")
