@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lithos.operators.skew import join_counted
 from lithos.operators.trie import Trie, longest_only
 from lithos.session import staged
 
@@ -80,19 +79,21 @@ def mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc
 
 @dataclass(frozen=True)
 class Shards:
-    """``aliases`` of one trie; ``windows`` of a shard for one task; ``slots`` of the table that says which tokens begin an alias, one byte each."""
+    """``aliases`` of one trie; ``windows`` of a shard for one task; ``slots`` of the table that says which tokens begin an alias, one byte each; ``pair_slots`` of that for two tokens in a row."""
 
     aliases: int = 100_000
     windows: int = 1_000_000
     slots: int = 1 << 20
+    pair_slots: int = 1 << 22
 
 
 def sharded_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: str = "doc_id", p: Shards = Shards()) -> DataFrame:
     """What ``mentions`` returns, for dictionaries of any size: the trie is dealt out in shards by the first token.
 
-    A table of ``slots`` bytes, whatever the dictionary, holds for the hash of a first token how long its aliases get.
+    A table of ``slots`` bytes, whatever the dictionary, says of the hash of a first token whether it is an alias by itself; one of
+    ``pair_slots`` bytes holds for the hash of the first two how long their aliases get.
     A document sends, for each token with an entry, itself and as many tokens after it to the
-    token's shard: one row a possible start, not one a run of tokens. A shard with more than ``aliases`` is cut into chunks,
+    token's shard: one row a possible start, not one a run of tokens. Tokens that share a slot only send more. A shard with more than ``aliases`` is cut into chunks,
     each of which sees all its windows; one with more than ``windows`` is cut into salts, each of which gets all its aliases.
     So a first token may hold any share of the dictionary or of the texts. Ids and rows may repeat.
     """
@@ -100,9 +101,12 @@ def sharded_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: st
     first = F.substring_index("alias", " ", 1)
     aliases = staged(aliases.select("alias", F.crc32(first).alias("crc"), F.least(F.size(F.split("alias", " ")), F.lit(255)).alias("words")), "aliases")
     n_shards = max(1, -(-aliases.count() // p.aliases))
-    reach = np.zeros(p.slots, np.uint8)
-    for slot, words in aliases.groupBy((F.col("crc") % p.slots).alias("slot")).agg(F.max("words")).toArrow().to_pandas().itertuples(index=False):
-        reach[slot] = words  # 255: as far as the text goes
+    # of a first token 1 if it is an alias by itself; of two tokens the words of their longest alias, 255: as far as the text goes
+    reach = np.zeros(p.slots, np.uint8), np.zeros(p.pair_slots, np.uint8)
+    pair = F.crc32(F.substring_index("alias", " ", 2))
+    for table, part, slot in ((reach[0], "words = 1", F.col("crc") % p.slots), (reach[1], "words > 1", pair % p.pair_slots)):
+        found = aliases.where(part).groupBy(slot.cast("int").alias("slot")).agg(F.max("words").cast("int").alias("words")).toArrow()
+        table[found.column("slot").to_numpy()] = found.column("words").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(reach)
     kind = next(f for f in docs.schema if f.name == id_col).dataType
     window = T.StructType([T.StructField("id", kind), T.StructField("pos", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.StringType()))])
@@ -116,7 +120,7 @@ def sharded_mentions(docs: DataFrame, tokens: str, lookup: DataFrame, id_col: st
     # null tokens may stand in windows, so what tells the two kinds of rows apart is ``head``
     heads = aliases.withColumn("shard", (F.col("crc") % n_shards).cast("int")).join(plan.hint("merge"), "shard")
     heads = heads.select("shard", F.pmod(F.xxhash64("alias"), F.col("chunks")).cast("int").alias("chunk"), each("salts").alias("salt"), F.lit(0).alias("head"), none("id", kind), none("pos", "int"), none("tokens", "array<string>"), "alias")
-    rows = join_counted(windows, plan, "shard")
+    rows = windows.join(F.broadcast(plan), "shard")  # a row for each ``aliases`` of the dictionary, whatever the texts
     salt = F.pmod(F.xxhash64("id", "pos"), F.col("salts")).cast("int").alias("salt")
     rows = rows.select("shard", each("chunks").alias("chunk"), salt, F.lit(1).alias("head"), "id", "pos", "tokens", none("alias", "string"))
     group = ["shard", "chunk", "salt"]
@@ -129,19 +133,25 @@ def _windows(shared, n_shards: int):
     """Rows (id, pos, shard, tokens) for every token that may begin an alias."""
 
     def run(batches):
-        reach = shared.value
+        alone, pairs = shared.value
         for batch in batches:
             lists = batch.column("tokens")
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = lists.flatten()
             coded = flat.dictionary_encode()
-            crcs = np.fromiter((crc32(t.encode()) for t in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
             known = ~coded.indices.is_null().to_numpy(zero_copy_only=False)
-            crc = np.append(crcs, 0)[coded.indices.fill_null(len(crcs)).to_numpy(zero_copy_only=False)]
-            far = np.where(known, reach[crc % len(reach)], 0).astype(np.int64)
-            at = np.flatnonzero(far)
+            code = coded.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            names = [t.encode() for t in coded.dictionary.to_pylist()]
+            crc = np.fromiter((crc32(t) for t in names), np.int64, len(names))[code] if names else np.zeros(len(code), np.int64)
             past = np.cumsum(lengths)
-            row = np.repeat(np.arange(len(lengths)), lengths)[at]
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            far = np.where(known, alone[crc % len(alone)], 0).astype(np.int64)
+            first = np.flatnonzero(known[:-1] & known[1:] & (owner[:-1] == owner[1:]))
+            both, which = np.unique(code[first] * len(names) + code[first + 1], return_inverse=True)  # each pair is hashed once
+            hashed = np.fromiter((crc32(names[x // len(names)] + b" " + names[x % len(names)]) for x in both.tolist()), np.int64, len(both))
+            far[first] = np.maximum(far[first], pairs[hashed % len(pairs)][which])
+            at = np.flatnonzero(far)
+            row = owner[at]
             size = np.where(far[at] == 255, past[row] - at, np.minimum(far[at], past[row] - at))
             for lo in range(0, max(len(at), 1), 100_000):  # windows overlap: in parts, for bounded memory
                 part = slice(lo, lo + 100_000)

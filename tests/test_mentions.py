@@ -79,3 +79,13 @@ def test_nothing_to_find(case, spark):
     docs, lookup, _ = case
     for d, look in ((docs.limit(0), lookup), (docs, lookup.limit(0))):
         assert mentions.mentions(d, "w", look).count() == 0 and mentions.sharded_mentions(d, "w", look).count() == 0
+
+
+def test_only_places_that_may_begin_an_alias_are_sent_to_shards(spark, monkeypatch):
+    sent, keep = [], mentions.staged
+    monkeypatch.setattr(mentions, "staged", lambda df, name: sent.append(df.count()) or keep(df, name) if name == "windows" else keep(df, name))
+    docs = spark.createDataFrame([(1, ["a", "x", "a", "b", "c", None, "a"]), (2, ["c", "b", "a"]), (3, None), (4, [])], "doc_id long, w array<string>")
+    lookup = spark.createDataFrame([("a b",), ("a b c",), ("c",)], "alias string")
+    got = sorted((r.doc_id, r.pos, r.n, r.alias) for r in mentions.sharded_mentions(docs, "w", lookup).collect())
+    assert got == [(1, 2, 2, "a b"), (1, 2, 3, "a b c"), (1, 4, 1, "c"), (2, 0, 1, "c")]
+    assert sent == [3]
