@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lithos.operators.active import greedy, what_if  # noqa: F401  the model-based choice, beside the simpler ones here
 from lithos.operators.svd import SVDModel, TruncatedSVD
+from lithos.session import discard, staged
 
 
 def vectoriser(texts: list[str], categories: list[str] = (), features: int = 1 << 16) -> Pipeline:
@@ -67,11 +68,21 @@ class Features:
 
 def fit_labels(rows: DataFrame, labels: list[str], text: list[str], kind: str = "LR", svd: int | None = None, **kwargs) -> tuple[Features, dict]:
     """The features, of ``svd`` components if that is given, and a model for each 0/1 column in ``labels``."""
-    pipeline = vectoriser(text, **{k: v for k, v in kwargs.items() if k in ("categories", "features")}).fit(rows)
-    features = Features(pipeline, TruncatedSVD(svd).fit(pipeline.transform(rows)) if svd else None)
-    ready = features.transform(rows).select("features", *labels).cache()
+    stages = vectoriser(text, **{k: v for k, v in kwargs.items() if k in ("categories", "features")}).getStages()
+    # Texts are cut into counted words once; the fits, and every pass of the decomposition, read these.
+    counting = [s for s in stages if isinstance(s, (RegexTokenizer, StopWordsRemover, NGram, HashingTF))]
+    counts = [s.getOutputCol() for s in counting if isinstance(s, HashingTF)]
+    counted = staged(PipelineModel(counting).transform(rows).select(*counts, *kwargs.get("categories", ()), *labels), "counted")
+    fitted = Pipeline(stages=[s for s in stages if s not in counting]).fit(counted)
+    vectors = fitted.transform(counted)
+    if svd:
+        vectors = staged(vectors.select("features", *labels), "vectors")
+    features = Features(PipelineModel([*counting, *fitted.stages]), TruncatedSVD(svd).fit(vectors) if svd else None)
+    ready = (features.svd.transform(vectors) if svd else vectors).select("features", *labels).cache()
     models = {x: classifier(kind, **{k: v for k, v in kwargs.items() if k in ("c", "trees")}).fit(balanced(ready, F.col(x))) for x in labels}
     ready.unpersist()
+    for used in (counted, vectors):
+        discard(used)
     return features, models
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from lithos.operators import ml
 from lithos.operators.svd import TruncatedSVD, product, sparse
@@ -81,3 +82,17 @@ def test_classifiers_beat_the_majority_on_held_out_rows(spark):
         f1 = 2 * hit / max(1, sum(r.y_score > 0.5 for r in got) + sum(r.y for r in got))
         share = sum(r.y for r in got) / len(got)
         assert f1 > 2 * share / (1 + share) + 0.1, svd  # all of the class that is asked for
+
+
+@pytest.mark.parametrize("svd", [None, 3])
+def test_texts_are_read_once_for_all_fits(spark, svd):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(t):
+        read.add(1)
+        return t
+
+    rows = spark.createDataFrame([(f"word{i % 5} other{i % 3} more", i % 2) for i in range(40)], "t string, y int").withColumn("t", seen.asNondeterministic()("t"))
+    ml.fit_labels(rows, ["y"], ["t"], features=64, svd=svd)
+    assert read.value == 40
