@@ -9,9 +9,10 @@
 3. Fragments that hold a key are partners. A key is a seed, and of a seed that more than
    ``pairs`` texts hold, also each two, four and eight of such seeds in a row, at any distance, and
    every run of ``min_words`` words around it. All holders of a key are paired while they are at most ``pairs``;
-   a key of more is a class by itself, and each holder is paired with its least one. A run of
-   ``min_words`` words is a passage, so that pair always verifies: no exact passage is lost by the
-   others, who share less, and the rows stay in proportion to the holders.
+   of a key of more each holder is paired with its least one. A run of ``min_words`` words is a passage, so
+   that pair always verifies. A holder whose seed lies in a passage with the least one is in that one's class.
+   Those that it does not reach are paired with every other holder with whom they can share a passage around the seed
+   (``rest``), whatever their number.
 4. For a pair, all runs of ``link`` words are matched, each with the places in the partner that
    go on alike for longest, rightward and leftward. Matches that follow each other on a diagonal
    are one block. Blocks are chained: one follows another if it begins later in both, and a gap costs ``gap`` a
@@ -26,7 +27,7 @@ Defined results: null, empty and short texts have no passages. Rows that repeat
 another text are compared each; two texts of one id give no row, nor do repeats inside a text. Rows
 without an id are left out. Texts equal to their class's one with the least id get one row that
 spans them, if they have ``min_words`` words. Columns other than id and text are not read. Of a passage in more than
-``pairs`` texts each holder has a row with its class's least one, not with every other.
+``pairs`` texts each holder has a row with its class's least one, and with every other only where that one reaches one of the two not.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ RUNS = (2, 4, 8)
 MOST_BYTES = 4_000_000
 #: A fragment: its document, which of the texts of that id, and its first word.
 NODE = ["doc", "part", "at"]
+#: A row of ``verified``; kind "unreached" stands for a fragment (``start_word`` is its ``at``) and a frequent seed ``key``.
+FOUND = PASSAGE + ", part long, key long"
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,16 @@ class Params:
         hits = ((n, int(np.ceil(self.identity * n))) for n in range(self.min_words, 2 * self.min_words))
         return max(1, min(m - (self.link - 1) * (n - m + 1) for n, m in hits))
 
+    @property
+    def stubs(self) -> tuple[tuple[int, int], ...]:
+        """(words at the end of an equal stretch, words in a row beyond it), one of which a passage has around a stretch of less than ``min_words``."""
+        return (self.k, 3), (max(self.k, int((3 * self.identity - 2) * self.min_words)), 2)
+
+    @property
+    def beyond(self) -> int:
+        """How far beyond the stretch those words may begin."""
+        return 3 * self.min_words // 2
+
     @property
     def fewest(self) -> int:
         """Triples of words that the texts of a passage have in common."""
@@ -165,7 +178,7 @@ def fragments(texts: DataFrame, p: Params) -> DataFrame:
             lo, hi = max(0, int(part[0]) - p.margin), min(len(words), int(part[-1]) + p.k + p.margin)
             if hi - lo < p.min_words:
                 continue
-            keys = [grams[part]]
+            keys = [gram_hashes(words[lo:hi].astype(np.uint32).astype(np.uint64), p.k)[part - lo]]  # as the fragment's words give them
             spots = part[warm]
             for n in RUNS:  # so many frequent seeds in a row, at any distance, as words may be put between them
                 if len(spots) >= n:
@@ -207,15 +220,130 @@ def fragments(texts: DataFrame, p: Params) -> DataFrame:
     return texts.mapInArrow(run, "doc long, part long, at int, words binary, places binary, keys array<long>")
 
 
-def partners(frags: DataFrame, p: Params) -> DataFrame:
-    """``(a, b)``: pairs of fragments, of different documents and ``b`` the less, that hold a key."""
+def holders(frags: DataFrame) -> DataFrame:
+    """``(key, a, n, least)``: the fragments that hold a key of more than one."""
     counted = with_holders(frags.select(F.explode("keys").alias("key"), *NODE), "key")
     held = staged(counted, "held").withColumn("a", F.struct(*NODE))
     discard(counted)
+    return held
+
+
+def partners(held: DataFrame, p: Params) -> DataFrame:
+    """``(a, b, via)``: pairs of fragments, of different documents and ``b`` the less, that hold a key; ``via`` are those of which ``b`` is the least of many."""
     few = held.where(F.col("n") <= p.pairs).groupBy("key").agg(F.sort_array(F.collect_set("a")).alias("all"))
-    few = few.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.lit(1), F.col("i"))).alias("b"))
-    many = held.where(F.col("n") > p.pairs).select("a", F.col("least").alias("b"))
-    return few.unionByName(many).where("a.doc != b.doc").distinct()
+    few = few.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.lit(1), F.col("i"))).alias("b"), F.lit(None).cast("long").alias("key"))
+    many = held.where(F.col("n") > p.pairs).select("a", F.col("least").alias("b"), "key")
+    return few.distinct().unionByName(many).where("a.doc != b.doc").groupBy("a", "b").agg(F.collect_list("key").alias("via"))
+
+
+def stub_ends(words: np.ndarray, p: Params):
+    """(hashes of the stubs, where each starts, where what is beyond starts, the word next to it, step beyond, q) for both sides and kinds.
+
+    A stub is the last or first ``size`` words of an equal stretch; those without a word beyond are left out.
+    """
+    for kind, (size, q) in enumerate(p.stubs):
+        grams = gram_hashes(words, size)
+        if len(grams) < 2:
+            continue
+        at = np.arange(len(grams))
+        for side, (own, out) in enumerate(((at[:-1], at[:-1] + size), (at[1:], at[1:] - 1))):
+            yield mixed(grams[own] ^ np.uint64(2 * kind + side + 1)), own, out, words[out], 1 - 2 * side, q
+
+
+def near(n: int, spots: np.ndarray, size: int, step: int, p: Params) -> np.ndarray:
+    """Whether a stub at each of ``n`` places ends a stretch of less than ``min_words`` words around one of the seeds at ``spots``."""
+    lo = spots + p.k - (size if step > 0 else p.min_words - 1)
+    hi = spots + (p.min_words - size if step > 0 else 1)
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.clip(lo, 0, n), 1)
+    np.add.at(edge, np.clip(hi, 0, n), -1)
+    return np.cumsum(edge)[:n] > 0
+
+
+def _flat(frags: DataFrame, lists: list[str], made, schema: str) -> DataFrame:
+    """Rows ``(*NODE, *made(words, *lists))`` of fragments; ``made`` gives arrays of equal length, the columns of ``schema``."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            given = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy().view(np.uint64)) for c in lists]
+            words, out, held = batch.column("words"), [], 0
+            for r in range(batch.num_rows):
+                own = np.frombuffer(words[r].as_buffer(), np.uint32).astype(np.uint64)
+                columns = made(own, *[flat[ends[r] : ends[r + 1]] for ends, flat in given])
+                out.append((r, columns))
+                held += 8 * len(names) * len(columns[0])
+                if held > MOST_BYTES or r == batch.num_rows - 1:
+                    owner = pa.array(np.repeat([r for r, _ in out], [len(c[0]) for _, c in out]), pa.int64())
+                    flat = [np.concatenate(c).astype(np.uint64).view(np.int64) for c in zip(*(c for _, c in out))]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(owner) for c in NODE), *map(pa.array, flat)], [*NODE, *names])
+                    out, held = [], 0
+
+    return frags.select(*NODE, "words", *lists).mapInArrow(run, f"doc long, part long, at int, {schema}")
+
+
+def rest(held: DataFrame, lone: DataFrame, frags: DataFrame, p: Params) -> DataFrame:
+    """``(a, b)``: pairs of which one is ``lone`` ``(a, key)`` at a frequent seed and that can share a passage around it.
+
+    Let the equal stretch around the seed have l words. With ``min_words`` or more it holds a run that is a key by itself.
+    With less, a passage of L columns, e of them no matches, goes on beyond. It has at most e other stretches of matches. If
+    none had 3 words, l >= L - 3e, so with ``identity`` 0.8 it would be 20 words or more; if none had 2, no end
+    would have a positive sum (``segments``), and there is no passage. So both texts hold the last (first) 8 words of the stretch and 3 in a row
+    after (before) it, or 20 and 2: a stub and a rest. Only stubs of which the holders have different words next to them end a stretch.
+    Of a stub with at most ``pairs`` lone holders those are paired with all others; of one with more, all holders of the stub and a rest, in blocks of bounded size.
+    """
+
+    def stubs(words, hot, alone):
+        grams = gram_hashes(words, p.k)
+        spots = np.flatnonzero(np.isin(grams, hot))
+        bare = spots[np.isin(grams[spots], alone)]
+        out = [(np.zeros(0, np.uint64),) * 3]
+        for keys, at, _, beside, step, q in stub_ends(words, p):
+            size = dict((q, size) for size, q in p.stubs)[q]
+            all_, own = (near(len(words), x, size, step, p)[at] for x in (spots, bare))
+            out.append((keys[all_], beside[all_], own[all_].astype(np.uint64)))
+        return [np.concatenate(c) for c in zip(*out)]
+
+    def rests(words, ends, alone):
+        out = [(np.zeros(0, np.uint64),) * 2]
+        for keys, _, start, _, step, q in stub_ends(words, p):
+            grams = gram_hashes(words, q)
+            for i in np.flatnonzero(np.isin(keys, ends)):
+                lo, hi = (start[i], start[i] + p.beyond) if step > 0 else (start[i] - q + 2 - p.beyond, start[i] - q + 2)
+                more = np.unique(grams[max(0, lo) : max(0, hi)])
+                out.append((mixed(more * np.uint64(0x9E3779B97F4A7C15) ^ keys[i]), np.full(len(more), np.isin(keys[i], alone), np.uint64)))
+        keys, bare = (np.concatenate(c) for c in zip(*out))
+        keys, first = np.unique(keys, return_index=True)
+        return keys, bare[first]
+
+    node = F.struct(*NODE).alias("a")
+    marked = held.where(F.col("n") > p.pairs).join(lone.select("key").distinct(), "key", "left_semi").select("key", "a", F.lit(0).alias("lone"))
+    marked = marked.unionByName(lone.select("key", "a", F.lit(1).alias("lone")))
+    both = marked.groupBy("a").agg(F.collect_set("key").alias("hot"), F.collect_set(F.when(F.col("lone") == 1, F.col("key"))).alias("alone"))
+    every = staged(_flat(both.select("a.*", "hot", "alone").join(frags.hint("merge"), NODE), ["hot", "alone"], stubs, "key long, beside long, lone long"), "stubs")
+    counts = every.groupBy("key").agg(F.count("*").alias("n"), F.sum("lone").alias("few"), (F.min("beside") != F.max("beside")).alias("ends")).where("few > 0 and ends").drop("ends")
+    counted = join_counted(every.select("key", node, "lone"), counts, "key")
+    ends = staged(counted, "ends")
+    for used in (every, counted):
+        discard(used)
+    some = ends.where(F.col("few") <= p.pairs)
+    alone = some.where("lone = 1").groupBy("key").agg(F.first("n").alias("n"), F.collect_set("a").alias("alone"))
+    direct = join_counted(some.select("key", "a"), alone, "key").select("a", F.explode("alone").alias("b")).where("a.doc != b.doc")
+    direct = direct.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    often = ends.where(F.col("few") > p.pairs).groupBy("a").agg(F.collect_set("key").alias("ends"), F.collect_set(F.when(F.col("lone") == 1, F.col("key"))).alias("alone"))
+    beyond = staged(_flat(often.select("a.*", "ends", "alone").join(frags.hint("merge"), NODE), ["ends", "alone"], rests, "key long, lone long"), "beyond")
+    counts = beyond.groupBy("key").agg(F.count("*").alias("n"), F.max("lone").alias("any")).where("n > 1 and any = 1").select("key", "n")
+    return direct.unionByName(in_blocks(join_counted(beyond.select("key", node, "lone"), counts, "key"), p)).distinct()
+
+
+def in_blocks(rows: DataFrame, p: Params) -> DataFrame:
+    """``(a, b)``: all pairs of rows ``(key, a, lone, n)`` of a key of which one is lone, from pairs of blocks of about ``block`` rows."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int")).withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = rows.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.sort_array(F.collect_set(F.struct("a", "lone", "own"))).alias("all"))
+    pairs = cells.select("i", "j", F.posexplode("all").alias("at", "x"), "all").select("i", "j", "x", F.explode(F.slice("all", F.lit(1), F.col("at"))).alias("y"))
+    pairs = pairs.where("(x.lone = 1 or y.lone = 1) and x.a.doc != y.a.doc and (i = j or x.own != y.own)")
+    return pairs.select(F.col("x.a").alias("a"), F.col("y.a").alias("b"))
 
 
 def by_hash(b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -438,13 +566,23 @@ def passages(a: np.ndarray, b: np.ndarray, p: Params, ready: tuple | None = None
     return found
 
 
-def verified(pairs: DataFrame, frags: DataFrame, p: Params) -> DataFrame:
-    """PASSAGE rows of the pairs ``(a, b)`` of fragments."""
+def possible(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
+    """Whether a stretch of ``a`` has words of ``b`` enough for a passage, in any order; where not, there is none."""
+    hits = np.isin(a, b)
+    start, end = longest(hits, p) if hits.any() else (0, 0)
+    return end - start >= p.least
+
+
+def verified(pairs: DataFrame, frags: DataFrame, p: Params, bound: bool = False) -> DataFrame:
+    """FOUND rows of the pairs ``(a, b, via)`` of fragments: passages, and for the seeds among ``via`` that lie in none of both, "unreached".
+
+    With ``bound`` pairs are first asked whether they can have a passage, which pays where few have one.
+    """
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
-    rows = pairs.join(sizes, "b").select("b", "a", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("turn"))
-    heads = sizes.select("b", F.col("b").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"))
+    rows = pairs.join(sizes, "b").select("b", "a", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("turn"), "via")
+    heads = sizes.select("b", F.col("b").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.array().cast("array<long>").alias("via"))
     rows = rows.unionByName(heads).join(frags.select(F.struct(*NODE).alias("a"), "words", "places").hint("merge"), "a")
-    rows = rows.select(F.col("b.doc").alias("other"), F.col("b.part").alias("part"), F.col("b.at").alias("other_at"), "block", "turn", F.col("a.doc").alias("doc"), F.col("a.at").alias("at"), "words", "places")
+    rows = rows.select(F.col("b.doc").alias("other"), F.col("b.part").alias("part"), F.col("b.at").alias("other_at"), "block", "turn", F.col("a.doc").alias("doc"), F.col("a.part").alias("own_part"), F.col("a.at").alias("at"), "words", "places", "via")
     group = ["other", "part", "other_at", "block"]
     rows = rows.repartition(*group).sortWithinPartitions(*group, "turn")
 
@@ -452,7 +590,8 @@ def verified(pairs: DataFrame, frags: DataFrame, p: Params) -> DataFrame:
         key, base, ready = None, None, None
         for batch in batches:
             keys = list(zip(*(batch.column(c).to_pylist() for c in group)))
-            turns, docs, ats = (batch.column(c).to_pylist() for c in ("turn", "doc", "at"))
+            turns, docs, parts, ats = (batch.column(c).to_pylist() for c in ("turn", "doc", "own_part", "at"))
+            via, ends = batch.column("via").values.to_numpy().view(np.uint64), batch.column("via").offsets.to_numpy()
             words, spots, out = batch.column("words"), batch.column("places"), []
             for r, this in enumerate(keys):
                 own = np.frombuffer(words[r].as_buffer(), np.uint32).astype(np.uint64)
@@ -463,12 +602,22 @@ def verified(pairs: DataFrame, frags: DataFrame, p: Params) -> DataFrame:
                 if key != this:
                     raise ValueError("a group came without its head")
                 mine, theirs = own[1] + ats[r], base[1] + this[2]
-                out += [(docs[r], mine[s], mine[e], this[0], theirs[o], theirs[u], hit, "passage") for s, e, o, u, hit in passages(own[0], base[0], p, ready)]
+                both = passages(own[0], base[0], p, ready) if not bound or possible(own[0], base[0], p) else []
+                out += [(docs[r], mine[s], mine[e], this[0], theirs[o], theirs[u], hit, "passage", None, None) for s, e, o, u, hit in both]
+                if ends[r + 1] > ends[r]:
+                    out += [(docs[r], ats[r], None, None, None, None, None, "unreached", parts[r], key_) for key_ in outside(own[0], base[0], both, via[ends[r] : ends[r + 1]]).view(np.int64).tolist()]
             if out:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [x.split()[0] for x in PASSAGE.split(", ")])
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [x.split()[0] for x in FOUND.split(", ")])
+
+    def outside(a, b, both, keys):
+        ga, gb = gram_hashes(a, p.k), gram_hashes(b, p.k)
+        keys = keys[np.isin(keys, ga)]
+        for s, e, o, u in (x[:4] for x in both):
+            keys = keys[~(np.isin(keys, ga[s : max(s, e - p.k + 1)]) & np.isin(keys, gb[o : max(o, u - p.k + 1)]))]
+        return keys
 
-    return rows.mapInArrow(run, PASSAGE).distinct()
+    return rows.mapInArrow(run, FOUND)
 
 
 def shared_passages(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -497,4 +646,10 @@ def shared_passages(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     frags = fragments(whole.join(per_text.hint("merge"), ["doc", "hash"]).select("doc", "part", "shared", "often", "text"), p)
     frags = staged(frags.dropDuplicates(NODE), "fragments")
     discard(per_text)
-    return verified(partners(frags, p), frags, p).unionByName(copies)
+    held = holders(frags)
+    found = staged(verified(partners(held, p), frags, p), "found")
+    lone = found.where("kind = 'unreached'").select(F.struct(F.col("doc_id").alias("doc"), "part", F.col("start_word").alias("at")).alias("a"), "key")
+    lone = lone.unionByName(held.where((F.col("n") > p.pairs) & (F.col("a.doc") == F.col("least.doc")) & (F.col("a") != F.col("least"))).select("a", "key"))
+    more = verified(rest(held, lone, frags, p).withColumn("via", F.array().cast("array<long>")), frags, p, bound=True)
+    names = [x.split()[0] for x in PASSAGE.split(", ")]
+    return found.unionByName(more).where("kind = 'passage'").select(names).distinct().unionByName(copies)

@@ -225,6 +225,24 @@ def test_stock_phrases_in_one_order_with_words_between(spark, others):
     assert linked(got) == {(5000, 5001)} and max(r.matched for r in got) == 84
 
 
+@pytest.mark.parametrize(("line", "every", "holders", "mirrored"), [(30, 6, 40, False), (30, 6, 40, True), (12, 6, 40, False), (34, 3, 40, False), (34, 3, 40, True), (30, 6, 1200, False)])
+def test_links_around_a_common_line_that_share_nothing_else_of_a_seed(spark, line, every, holders, mirrored):
+    """Texts of a line that many hold and what follows or goes before it, with edits so dense that no other run of eight words is equal."""
+    rnd = random.Random(17)
+    common = draw(rnd, line)
+    rows = [(i, draw(rnd, 80) + common + draw(rnd, 80)) for i in range(holders)]
+    for j in range(4):
+        tail = draw(rnd, 66 if every > 3 else 24)
+        for side in (0, 1):
+            own = [f"x{side}{w}" if i % every == 0 else w for i, w in enumerate(tail)]
+            own = common + own
+            rows.append((5000 + 2 * j + side, draw(rnd, 90) + (own[::-1] if mirrored else own) + draw(rnd, 90)))
+    if mirrored:
+        rows = [(i, w[:80] + common[::-1] + w[80 + line :]) if i < 5000 else (i, w) for i, w in rows]
+    got = found(spark, [(i, " ".join(w)) for i, w in rows])
+    assert linked(got) == {(5000 + 2 * j, 5001 + 2 * j) for j in range(4)}
+
+
 def test_stretches_have_the_share_and_matches_at_their_ends():
     rnd = random.Random(1)
     p, hits = sd.Params(), 0
