@@ -10,9 +10,10 @@
    ``pairs`` texts hold, also each two, four and eight of such seeds in a row, at any distance, and
    every run of ``min_words`` words around it. All holders of a key are paired while they are at most ``pairs``;
    of a key of more each holder is paired with its least one. A run of ``min_words`` words is a passage, so
-   that pair always verifies. A holder whose seed lies in a passage with the least one is in that one's class.
-   Those that it does not reach are paired with every other holder with whom they can share a passage around the seed
-   (``rest``), whatever their number.
+   that pair always verifies. A holder (fragment) that has a passage with the least one is in that one's class.
+   Those that it does not reach are compared with the other holders with whom they can share a passage around the seed
+   (``rest``), whatever their number: of a key of more than ``pairs`` of them all with one, the leader, whose class are those it
+   reaches; after ``turns`` leaders every two that no leader has both in its class.
 4. For a pair, all runs of ``link`` words are matched, each with the places in the partner that
    go on alike for longest, rightward and leftward. Matches that follow each other on a diagonal
    are one block. Blocks are chained: one follows another if it begins later in both, and a gap costs ``gap`` a
@@ -27,7 +28,7 @@ Defined results: null, empty and short texts have no passages. Rows that repeat
 another text are compared each; two texts of one id give no row, nor do repeats inside a text. Rows
 without an id are left out. Texts equal to their class's one with the least id get one row that
 spans them, if they have ``min_words`` words. Columns other than id and text are not read. Of a passage in more than
-``pairs`` texts each holder has a row with its class's least one, and with every other only where that one reaches one of the two not.
+``pairs`` texts each holder has a row with its class's leader, and with every other only where no leader reaches both.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ RUNS = (2, 4, 8)
 MOST_BYTES = 4_000_000
 #: A fragment: its document, which of the texts of that id, and its first word.
 NODE = ["doc", "part", "at"]
-#: A row of ``verified``; kind "unreached" stands for a fragment (``start_word`` is its ``at``) and a frequent seed ``key``.
-FOUND = PASSAGE + ", part long, key long"
+#: A row of ``verified``; kind "unreached" stands for two fragments (``start_word`` and ``other_start`` are their ``at``) and a frequent seed ``key``.
+FOUND = PASSAGE + ", part long, other_part long, key long"
 
 
 @dataclass(frozen=True)
@@ -67,6 +68,7 @@ class Params:
     identity: float = 0.8
     margin: int = 64
     block: int = 500
+    turns: int = 2
 
     @property
     def least(self) -> int:
@@ -237,7 +239,7 @@ def partners(held: DataFrame, p: Params) -> DataFrame:
 
 
 def stub_ends(words: np.ndarray, p: Params):
-    """(hashes of the stubs, where each starts, where what is beyond starts, the word next to it, step beyond, q) for both sides and kinds.
+    """(hashes of the stubs, where each starts, where what is beyond starts, the word there, step beyond, q) for both sides and kinds.
 
     A stub is the last or first ``size`` words of an equal stretch; those without a word beyond are left out.
     """
@@ -283,14 +285,14 @@ def _flat(frags: DataFrame, lists: list[str], made, schema: str) -> DataFrame:
 
 
 def rest(held: DataFrame, lone: DataFrame, frags: DataFrame, p: Params) -> DataFrame:
-    """``(a, b)``: pairs of which one is ``lone`` ``(a, key)`` at a frequent seed and that can share a passage around it.
+    """FOUND rows of the fragments ``lone`` ``(a, key)`` at a frequent seed and the others that can share a passage around it.
 
     Let the equal stretch around the seed have l words. With ``min_words`` or more it holds a run that is a key by itself.
     With less, a passage of L columns, e of them no matches, goes on beyond. It has at most e other stretches of matches. If
     none had 3 words, l >= L - 3e, so with ``identity`` 0.8 it would be 20 words or more; if none had 2, no end
     would have a positive sum (``segments``), and there is no passage. So both texts hold the last (first) 8 words of the stretch and 3 in a row
     after (before) it, or 20 and 2: a stub and a rest. Only stubs of which the holders have different words next to them end a stretch.
-    Of a stub with at most ``pairs`` lone holders those are paired with all others; of one with more, all holders of the stub and a rest, in blocks of bounded size.
+    Of a stub with at most ``pairs`` lone holders those are paired with all others; of one with more, the holders of the stub and a rest (``by_leaders``).
     """
 
     def stubs(words, hot, alone):
@@ -311,10 +313,10 @@ def rest(held: DataFrame, lone: DataFrame, frags: DataFrame, p: Params) -> DataF
             for i in np.flatnonzero(np.isin(keys, ends)):
                 lo, hi = (start[i], start[i] + p.beyond) if step > 0 else (start[i] - q + 2 - p.beyond, start[i] - q + 2)
                 more = np.unique(grams[max(0, lo) : max(0, hi)])
-                out.append((mixed(more * np.uint64(0x9E3779B97F4A7C15) ^ keys[i]), np.full(len(more), np.isin(keys[i], alone), np.uint64)))
-        keys, bare = (np.concatenate(c) for c in zip(*out))
-        keys, first = np.unique(keys, return_index=True)
-        return keys, bare[first]
+                out.append((mixed(more * np.uint64(0x9E3779B97F4A7C15) ^ keys[i]), np.full(len(more), not np.isin(keys[i], alone), np.uint64)))
+        columns = [np.concatenate(c) for c in zip(*out)]
+        _, first = np.unique(columns[0], return_index=True)
+        return [c[first] for c in columns]
 
     node = F.struct(*NODE).alias("a")
     marked = held.where(F.col("n") > p.pairs).join(lone.select("key").distinct(), "key", "left_semi").select("key", "a", F.lit(0).alias("lone"))
@@ -327,23 +329,65 @@ def rest(held: DataFrame, lone: DataFrame, frags: DataFrame, p: Params) -> DataF
     for used in (every, counted):
         discard(used)
     some = ends.where(F.col("few") <= p.pairs)
-    alone = some.where("lone = 1").groupBy("key").agg(F.first("n").alias("n"), F.collect_set("a").alias("alone"))
-    direct = join_counted(some.select("key", "a"), alone, "key").select("a", F.explode("alone").alias("b")).where("a.doc != b.doc")
-    direct = direct.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    alone = some.where("lone = 1").groupBy("key").agg(F.first("n").alias("n"), F.sort_array(F.collect_set("a")).alias("alone"))
+    direct = join_counted(some.select("key", "a"), alone, "key").select("a", "alone").distinct().select("a", F.explode("alone").alias("b")).where("a.doc != b.doc")
     often = ends.where(F.col("few") > p.pairs).groupBy("a").agg(F.collect_set("key").alias("ends"), F.collect_set(F.when(F.col("lone") == 1, F.col("key"))).alias("alone"))
-    beyond = staged(_flat(often.select("a.*", "ends", "alone").join(frags.hint("merge"), NODE), ["ends", "alone"], rests, "key long, lone long"), "beyond")
-    counts = beyond.groupBy("key").agg(F.count("*").alias("n"), F.max("lone").alias("any")).where("n > 1 and any = 1").select("key", "n")
-    return direct.unionByName(in_blocks(join_counted(beyond.select("key", node, "lone"), counts, "key"), p)).distinct()
+    beyond = staged(_flat(often.select("a.*", "ends", "alone").join(frags.hint("merge"), NODE), ["ends", "alone"], rests, "key long, known long"), "beyond")
+    found, left = by_leaders(beyond.select("key", node, "known"), frags, p)
+    discard(beyond)
+    pairs = direct.unionByName(apart(left, p)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    more = verified(staged(pairs, "pairs").withColumn("via", F.array().cast("array<long>")), frags, p, bound=True)
+    for rows in found:
+        more = more.unionByName(rows)
+    return more
 
 
-def in_blocks(rows: DataFrame, p: Params) -> DataFrame:
-    """``(a, b)``: all pairs of rows ``(key, a, lone, n)`` of a key of which one is lone, from pairs of blocks of about ``block`` rows."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int")).withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = rows.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.sort_array(F.collect_set(F.struct("a", "lone", "own"))).alias("all"))
-    pairs = cells.select("i", "j", F.posexplode("all").alias("at", "x"), "all").select("i", "j", "x", F.explode(F.slice("all", F.lit(1), F.col("at"))).alias("y"))
-    pairs = pairs.where("(x.lone = 1 or y.lone = 1) and x.a.doc != y.a.doc and (i = j or x.own != y.own)")
-    return pairs.select(F.col("x.a").alias("a"), F.col("y.a").alias("b"))
+def by_leaders(rows: DataFrame, frags: DataFrame, p: Params) -> tuple[list[DataFrame], DataFrame]:
+    """FOUND rows of the holders of a key with its leaders, and the rows ``(key, a, known)`` of which pairs are left.
+
+    The bits of ``known`` are the leaders in whose class the holder is, the first that of the seed itself.
+    A key with more than ``pairs`` holders without a leader gets the least of them, with which all are compared; it is done then.
+    """
+    found, left = [], []
+    for turn in range(1, p.turns + 1):
+        none = F.col("known") == 0
+        counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(none, 1)).alias("open"), F.min(F.when(none, F.col("a"))).alias("lead"))
+        counts = counts.where("n > 1 and open > 0" if turn == 1 else "n > 1").select("key", "n", F.when(F.col("open") > p.pairs, F.col("lead")).alias("lead"))
+        counted = join_counted(rows, counts, "key")
+        rows = staged(counted.select("key", "a", "known", "lead"), "rests")
+        discard(counted)
+        left.append(rows.where("lead is null").select("key", "a", "known"))
+        rows = rows.where("a != lead").withColumn("b", F.least("a", "lead")).withColumn("a", F.greatest("a", "lead")).withColumn("led", F.col("b") != F.col("lead"))
+        asked = rows.where("a.doc != b.doc").groupBy("a", "b").agg(F.array(F.lit(0).cast("long")).alias("via"))
+        asked = staged(asked, "asked")
+        found.append(staged(verified(asked, frags, p), "led"))
+        discard(asked)
+        missed = found[-1].where("kind = 'unreached'").select(_node("doc_id", "part", "start_word").alias("a"), _node("other_doc_id", "other_part", "other_start").alias("b"), F.lit(0).alias("reach"))
+        rows = rows.join(missed.hint("merge"), ["a", "b"], "left")
+        reach = F.when(F.col("a.doc") == F.col("b.doc"), 0).otherwise(F.coalesce("reach", F.lit(1 << turn)))
+        rows = staged(rows.select("key", F.when(F.col("led"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("known").bitwiseOR(reach).alias("known")), "known")
+    for more in left:
+        rows = rows.unionByName(more)
+    return found, rows
+
+
+def _node(doc: str, part: str, at: str):
+    return F.struct(F.col(doc).alias("doc"), F.col(part).alias("part"), F.col(at).alias("at"))
+
+
+def apart(rows: DataFrame, p: Params) -> DataFrame:
+    """``(a, b)``: the pairs of rows ``(key, a, known)`` of a key without a bit in common, from pairs of blocks of about ``block`` rows."""
+    sides = rows.groupBy("key", "known").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("known", F.ceil(F.col("n") / p.block).cast("int").alias("blocks"))).alias("sides"))
+    sides = sides.where("n > 1 and exists(sides, s -> exists(sides, t -> (s.known & t.known) = 0))")
+    rows = join_counted(rows, sides, "key").withColumn("own", F.expr("cast(pmod(xxhash64(a), filter(sides, s -> s.known = known)[0].blocks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.expr("filter(sides, s -> (s.known & known) = 0)"))).withColumn("block", F.explode(F.expr("sequence(0, other.blocks - 1)")))
+    # of two sides the less known is the first; of one side the less block
+    first = F.expr("known < other.known or (known = other.known and own <= block)")
+    cell = ["key", F.least("known", "other.known").alias("lo"), F.greatest("known", "other.known").alias("hi"), F.when(first, F.col("own")).otherwise(F.col("block")).alias("i"), F.when(first, F.col("block")).otherwise(F.col("own")).alias("j")]
+    rows = rows.select(*cell, "a", first.alias("first"), F.expr("known > other.known or (known = other.known and own >= block)").alias("second"))
+    cells = rows.groupBy("key", "lo", "hi", "i", "j").agg(F.collect_list(F.when(F.col("first"), F.col("a"))).alias("these"), F.collect_list(F.when(F.col("second"), F.col("a"))).alias("those"))
+    cells = cells.where("size(these) > 0 and size(those) > 0").select(F.expr("lo = hi and i = j").alias("same"), F.explode("these").alias("a"), "those")
+    return cells.select("a", F.explode(F.expr("filter(those, y -> y.doc != a.doc and (not same or y < a))")).alias("b"))
 
 
 def by_hash(b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -574,7 +618,7 @@ def possible(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
 
 
 def verified(pairs: DataFrame, frags: DataFrame, p: Params, bound: bool = False) -> DataFrame:
-    """FOUND rows of the pairs ``(a, b, via)`` of fragments: passages, and for the seeds among ``via`` that lie in none of both, "unreached".
+    """FOUND rows of the pairs ``(a, b, via)`` of fragments: passages, and where there are none, "unreached" for each key in ``via``.
 
     With ``bound`` pairs are first asked whether they can have a passage, which pays where few have one.
     """
@@ -603,20 +647,13 @@ def verified(pairs: DataFrame, frags: DataFrame, p: Params, bound: bool = False)
                     raise ValueError("a group came without its head")
                 mine, theirs = own[1] + ats[r], base[1] + this[2]
                 both = passages(own[0], base[0], p, ready) if not bound or possible(own[0], base[0], p) else []
-                out += [(docs[r], mine[s], mine[e], this[0], theirs[o], theirs[u], hit, "passage", None, None) for s, e, o, u, hit in both]
-                if ends[r + 1] > ends[r]:
-                    out += [(docs[r], ats[r], None, None, None, None, None, "unreached", parts[r], key_) for key_ in outside(own[0], base[0], both, via[ends[r] : ends[r + 1]]).view(np.int64).tolist()]
+                out += [(docs[r], mine[s], mine[e], this[0], theirs[o], theirs[u], hit, "passage", None, None, None) for s, e, o, u, hit in both]
+                if not both:
+                    out += [(docs[r], ats[r], None, this[0], this[2], None, None, "unreached", parts[r], this[1], key_) for key_ in via[ends[r] : ends[r + 1]].view(np.int64).tolist()]
             if out:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [x.split()[0] for x in FOUND.split(", ")])
 
-    def outside(a, b, both, keys):
-        ga, gb = gram_hashes(a, p.k), gram_hashes(b, p.k)
-        keys = keys[np.isin(keys, ga)]
-        for s, e, o, u in (x[:4] for x in both):
-            keys = keys[~(np.isin(keys, ga[s : max(s, e - p.k + 1)]) & np.isin(keys, gb[o : max(o, u - p.k + 1)]))]
-        return keys
-
     return rows.mapInArrow(run, FOUND)
 
 
@@ -647,9 +684,11 @@ def shared_passages(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     frags = staged(frags.dropDuplicates(NODE), "fragments")
     discard(per_text)
     held = holders(frags)
-    found = staged(verified(partners(held, p), frags, p), "found")
-    lone = found.where("kind = 'unreached'").select(F.struct(F.col("doc_id").alias("doc"), "part", F.col("start_word").alias("at")).alias("a"), "key")
+    pairs = staged(partners(held, p), "partners")
+    found = staged(verified(pairs, frags, p), "found")
+    discard(pairs)
+    lone = found.where("kind = 'unreached'").select(_node("doc_id", "part", "start_word").alias("a"), "key")
     lone = lone.unionByName(held.where((F.col("n") > p.pairs) & (F.col("a.doc") == F.col("least.doc")) & (F.col("a") != F.col("least"))).select("a", "key"))
-    more = verified(rest(held, lone, frags, p).withColumn("via", F.array().cast("array<long>")), frags, p, bound=True)
+    more = rest(held, lone, frags, p)
     names = [x.split()[0] for x in PASSAGE.split(", ")]
     return found.unionByName(more).where("kind = 'passage'").select(names).distinct().unionByName(copies)

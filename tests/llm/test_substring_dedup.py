@@ -243,6 +243,21 @@ def test_links_around_a_common_line_that_share_nothing_else_of_a_seed(spark, lin
     assert linked(got) == {(5000 + 2 * j, 5001 + 2 * j) for j in range(4)}
 
 
+@pytest.mark.parametrize("size", [24, 48])
+def test_a_large_class_beside_a_common_line_gives_rows_in_proportion(spark, size):
+    """Near copies that hold a line of which the least holder is no copy: linked, but not each with every other."""
+    rnd = random.Random(23)
+    line, text = draw(rnd, 12), draw(rnd, 120)
+    rows = [(i, draw(rnd, 80) + line + draw(rnd, 80)) for i in range(20)]
+    for i in range(size):
+        own = [f"x{i}v{j}" if j % 7 == 3 else w for j, w in enumerate(text)]  # no eight words but those with the line
+        rows.append((1000 + i, own[:60] + line + own[60:]))
+    got = found(spark, [(i, " ".join(w)) for i, w in rows])
+    links = linked(got)
+    assert components(range(1000, 1000 + size), links) == {i: 1000 for i in range(1000, 1000 + size)} and all(i >= 1000 for pair in links for i in pair)
+    assert len(got) <= 4 * size
+
+
 def test_stretches_have_the_share_and_matches_at_their_ends():
     rnd = random.Random(1)
     p, hits = sd.Params(), 0
